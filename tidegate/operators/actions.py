@@ -96,12 +96,15 @@ def action_summary(counts: DataFrame, rules: Sequence[ColumnRule], total: str, k
 
 def apply_actions(df: DataFrame, rules: Sequence[ColumnRule], by: str | None = None,
                   min_allowed: int = 1) -> DataFrame:
-    """Rows that survive the actions of all rules, with the file's limits joined from one aggregation."""
+    """Rows that survive the actions of all rules; the limits of a file come from one aggregation."""
     groups = df.groupBy(by) if by else df.groupBy()
     counts = groups.agg(F.count(F.lit(1)).alias("_rows"), *action_counts(rules))
-    limits = counts.select(*([by] if by else []), row_limit(flagged_columns(rules), min_allowed).alias("_limit"),
-                           aborted(rules, F.col("_rows")).alias("_abort"))
-    # Without a file column the limits are a single row.
-    joined = df.join(limits, by) if by else df.join(F.broadcast(limits), F.lit(True))
-    return joined.filter(F.col("_abort").isNull() & ~rejected(rules) & (invalid_columns(rules) <= F.col("_limit"))
-                         ).select([column(c) for c in df.columns])
+    limit, stop = row_limit(flagged_columns(rules), min_allowed), aborted(rules, F.col("_rows"))
+    if by:
+        rows = df.join(counts.select(by, limit.alias("_limit"), stop.alias("_abort")), by)
+        allowed, going = F.col("_limit"), F.col("_abort").isNull()
+    else:
+        rows, allowed = df, counts.select(limit).scalar()
+        going = counts.select(stop.isNull()).scalar()
+    kept = rows.filter(going & ~rejected(rules) & (invalid_columns(rules) <= allowed))
+    return kept.select([column(c) for c in df.columns])

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.functions.settings import tolerance_column
 from tidegate.operators.cleanse import NULL_VALUE
 from tidegate.operators.shape import column
 
@@ -77,29 +79,21 @@ def check_data_quality(df: DataFrame, table: str, keys: Sequence[str], filename:
     name = F.lit(filename).cast("string")
     profile = column_profile(df, data)
     checks = check_profile(profile, data, keys, required, table, name)
-    if not keys and not required:
-        return checks.select(*ERROR_COLUMNS)
-    has_values = profile.filter(F.greatest(*[F.col(f"_n{i}") for i in range(len(data))], F.lit(0).cast("long")) > 0)
-    found = []
+    counts = {c: F.col(f"_n{i}") for i, c in enumerate(data)}
+    # The profile is one row: an all-null file silences the other checks.
+    has_values = profile.select(F.greatest(F.lit(0).cast("long"), *counts.values()) > 0).scalar()
+    found = [checks]
     if keys:
-        found.append(duplicate_keys(df, keys, table, name))
+        found.append(duplicate_keys(df, keys, table, name).filter(has_values))
     if required and "line_id" in df.columns:
-        all_null = F.array_compact(F.array(
-            *[F.when(F.col(f"_n{data.index(c)}") == 0, F.lit(c)) for c in required]).cast("array<string>"))
+        hollow = F.array_compact(F.array(*[F.when(counts[c] == 0, F.lit(c)) for c in required]))
         lines = null_lines(df, required, table).withColumn("filename", name)
-        nulls = lines.join(F.broadcast(profile.select(all_null.alias("_skip"))),
-                           ~F.array_contains("_skip", F.col("column_name")), "left_semi")
-        found.append(nulls.select(*ERROR_COLUMNS))
-    for errors in found:
-        # The profile is a single row: an all-null file silences the other checks.
-        checks = checks.unionByName(errors.join(F.broadcast(has_values.select()), F.lit(True), "left_semi"))
-    return checks.select(*ERROR_COLUMNS)
+        found.append(lines.filter(has_values & ~F.array_contains(profile.select(hollow).scalar(), "column_name")))
+    return reduce(lambda a, b: a.unionByName(b), [f.select(*ERROR_COLUMNS) for f in found])
 
 
 def corrupt_verdict(df: DataFrame, corrupt: str, tolerance: str, by: str | None = None) -> DataFrame:
     """Total and corrupt rows with the tolerated number and whether the file is accepted."""
-    from tidegate.functions.settings import tolerance_column
-
     groups = df.groupBy(by) if by else df.groupBy()
     counted = groups.agg(F.count(F.lit(1)).alias("total_rows"),
                          F.count_if(F.col(corrupt).isNotNull()).alias("corrupt_rows"))
