@@ -8,6 +8,7 @@ from suite.base import DATE_ERROR, WRITTEN_DATE, collector, table, written_date
 from tidegate.operators import actions, quality, shape
 from tidegate.operators.cleanse import cleanse, error_lines
 from tidegate.rules import ColumnRule
+from tidegate.session import staged
 
 SUITE, query = collector()
 
@@ -56,9 +57,9 @@ def dq_dup_key(spark, folder):
     return quality.duplicate_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
 
 
-@query(f"""WITH h AS ({HOLED}) SELECT 'orders' AS table_name, line_id, unnest(list_filter([
-    CASE WHEN o_custkey IS NULL THEN 'o_custkey' END, CASE WHEN o_totalprice IS NULL THEN 'o_totalprice' END],
-    x -> x IS NOT NULL)) AS column_name, 'NULL_VALUE' AS error_message, CAST(1 AS BIGINT) AS error_count FROM h""")
+@query(f"""WITH h AS ({HOLED}) SELECT 'orders' AS table_name, line_id, 'o_custkey' AS column_name,
+    'NULL_VALUE' AS error_message, CAST(1 AS BIGINT) AS error_count FROM h WHERE o_custkey IS NULL
+    UNION ALL SELECT 'orders', line_id, 'o_totalprice', 'NULL_VALUE', 1 FROM h WHERE o_totalprice IS NULL""")
 def dq_null_lines(spark, folder):
     return quality.null_lines(holed_orders(spark, folder), ["o_custkey", "o_totalprice"], "orders")
 
@@ -139,9 +140,9 @@ def action_abort(spark, folder):
 @query(f"""WITH h AS ({HOLED}), c AS (SELECT count(*) AS n, count(*) - count(o_custkey) AS bad_cust,
     count_if(o_custkey IS NOT NULL AND o_totalprice IS NULL) AS bad_price,
     count_if(o_custkey IS NOT NULL AND o_orderpriority IS NULL) AS bad_prio FROM h)
-    SELECT 'o_custkey' AS column_name, 'REJECT' AS error_type, bad_cust AS error_count FROM c WHERE bad_cust > 0
-    UNION ALL SELECT 'o_totalprice', 'LOG_ONLY', bad_price FROM c WHERE bad_price > 0
-    UNION ALL SELECT 'o_orderpriority', 'ICT_DRIVEN_ABORT', bad_prio FROM c WHERE bad_prio > 0.1 * n""")
+    SELECT 'o_custkey' AS column_name, 'REJECT' AS error_type, CAST(bad_cust AS BIGINT) AS error_count FROM c WHERE bad_cust > 0
+    UNION ALL SELECT 'o_totalprice', 'LOG_ONLY', CAST(bad_price AS BIGINT) FROM c WHERE bad_price > 0
+    UNION ALL SELECT 'o_orderpriority', 'ICT_DRIVEN_ABORT', CAST(bad_prio AS BIGINT) FROM c WHERE bad_prio > 0.1 * n""")
 def action_log(spark, folder):
     rules = (required("REJECT", "o_custkey") + required("LOG_ONLY", "o_totalprice")
              + required("ICT_DRIVEN", "o_orderpriority", tolerance="10%"))
@@ -158,7 +159,7 @@ ERRORS = f"""t AS (SELECT o_orderkey, {WRITTEN_DATE} AS raw, o_orderpriority FRO
 def error_frame(spark, folder):
     o = table(spark, folder, "orders").select(F.col("o_orderkey").alias("line_id"), written_date().alias("raw"))
     rules = [ColumnRule("raw", field_type="DATE")]
-    lines = error_lines(cleanse(o, rules), rules, "orders")
+    lines = error_lines(staged(cleanse(o, rules), "typed"), rules, "orders")
     text = F.when(F.col("error_message") == "INVALID_DATE", "Invalid date").otherwise(F.col("error_message"))
     found = lines.select("column_name", text.alias("error_message"), "error_count")
     nulls = o.filter("raw IS NULL").select(F.lit("Null value detected").alias("error_message"),
@@ -182,8 +183,8 @@ def clean_rows(spark, folder):
 
 
 @query(f"""WITH h AS ({HOLED}) SELECT 'has_customer' AS expectation, count(*) AS total_rows,
-    count_if(o_custkey IS NULL) AS violations FROM h UNION ALL
-    SELECT 'dear', count(*), count_if(NOT coalesce(o_totalprice > 1000, FALSE)) FROM h""")
+    CAST(count_if(o_custkey IS NULL) AS BIGINT) AS violations FROM h UNION ALL
+    SELECT 'dear', count(*), CAST(count_if(NOT coalesce(o_totalprice > 1000, FALSE)) AS BIGINT) FROM h""")
 def expectations(spark, folder):
     return quality.expectations(holed_orders(spark, folder),
                                 {"has_customer": "o_custkey IS NOT NULL", "dear": "o_totalprice > 1000"})

@@ -12,7 +12,7 @@ from tidegate.operators.cleanse import cleanse
 from tidegate.operators.modes import merge_newest
 from tidegate.plans.intake import Layout, load_table
 from tidegate.rules import ColumnRule, TableRule
-from tidegate.session import fresh_path
+from tidegate.session import fresh_path, staged
 from tidegate.sinks.tables import CurrentTable, read_table
 
 SUITE, query = collector()
@@ -56,7 +56,7 @@ NEWEST = "QUALIFY row_number() OVER (PARTITION BY custkey ORDER BY orderdate DES
     max(orderdate) AS last_day FROM s GROUP BY 1, 2 ORDER BY 1 DESC, 2 DESC""")
 def governed_orders(spark, folder):
     """Raw text to typed rows, error actions, newest-wins merge into a prior state, monthly summary."""
-    typed = cleanse(raw_orders(spark, folder), RULES, trim=True)
+    typed = staged(cleanse(raw_orders(spark, folder), RULES, trim=True), "typed")
     clean = actions.apply_actions(typed, RULES).drop("_errors").withColumn("_line", F.col("orderkey"))
     state = merge_newest(None, clean.filter("status = 'F'"), ["custkey"], "orderdate", ["_line"])
     state = merge_newest(state, clean.filter("status <> 'F'"), ["custkey"], "orderdate", ["_line"])
@@ -67,6 +67,9 @@ def governed_orders(spark, folder):
         F.desc("yyyy"), F.desc("mm"))
 
 
+PLAIN = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def loaded(spark, folder, mode="DELTA_FROM_NON_HISTORIZED"):
     """Two deliveries of orders as CSV, each through a full load."""
     layout = Layout(inbox="", root=fresh_path(spark, "lake"))
@@ -76,7 +79,7 @@ def loaded(spark, folder, mode="DELTA_FROM_NON_HISTORIZED"):
     runs = []
     for part in ("status = 'F'", "status <> 'F'"):
         source = fresh_path(spark, "delivery")
-        raw.filter(part).drop("status").write.option("sep", ";").option("header", True).csv(source)
+        raw.filter(part).drop("status").write.options(sep=";", header=True, **PLAIN).csv(source)
         runs.append(load_table(spark, rule, RULES, layout, at, source))
     return layout, rule, runs
 
@@ -103,7 +106,8 @@ def load_history(spark, folder):
 @query(f"""WITH {RAW} SELECT 'orderdate' AS column_name, CASE WHEN trim(raw) = '' THEN 'EMPTY_DATE' ELSE 'INVALID_DATE' END
     AS error_type, count(*) AS n FROM raw_orders WHERE raw IS NOT NULL AND {PARSED_DATE} IS NULL GROUP BY 1, 2
     UNION ALL SELECT 'totalprice', 'TYPE_MISMATCH', count(*) FROM raw_orders WHERE totalprice IS NULL
-    UNION ALL SELECT 'custkey', 'ICT_DRIVEN', count(*) FROM raw_orders WHERE custkey IS NULL""")
+    UNION ALL SELECT 'custkey', 'ICT_DRIVEN', count(*) FROM raw_orders WHERE custkey IS NULL
+    UNION ALL SELECT 'custkey', 'NULL_VALUE', count(*) FROM raw_orders WHERE custkey IS NULL AND totalprice IS NOT NULL""")
 def load_errors(spark, folder):
     """Per-line errors both loads left in the quality log."""
     layout, _, _ = loaded(spark, folder, "FULL_KEY_REPLACE")

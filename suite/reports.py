@@ -27,7 +27,7 @@ def agg_stats(spark, folder):
     return p.select("event_type", F.round("deviation", 6).alias("deviation"), "spread")
 
 
-@query("""SELECT count(*) AS row_count, count_if(value > 10) AS large_count, round(sum(value), 4) AS total,
+@query("""SELECT count(*) AS row_count, CAST(count_if(value > 10) AS BIGINT) AS large_count, round(sum(value), 4) AS total,
     round(avg(value), 6) AS mean FROM events""")
 def agg_global(spark, folder):
     return table(spark, folder, "events").agg(
@@ -166,8 +166,8 @@ def silver(spark, folder):
 
 
 @query(f"""WITH s AS (SELECT DISTINCT * FROM ({HISTORY}) WHERE "FILE_PROCESS_DATE" IS NOT NULL)
-    SELECT 'valid_date' AS expectation, count(*) AS total_rows, count_if("FILE_PROCESS_DATE" IS NULL) AS violations FROM s
-    UNION ALL SELECT 'valid_filename', count(*), count_if("FILE_NAME_RECEIVED" IS NULL) FROM s""")
+    SELECT 'valid_date' AS expectation, count(*) AS total_rows, CAST(count_if("FILE_PROCESS_DATE" IS NULL) AS BIGINT) AS violations FROM s
+    UNION ALL SELECT 'valid_filename', count(*), CAST(count_if("FILE_NAME_RECEIVED" IS NULL) AS BIGINT) FROM s""")
 def silver_expectations(spark, folder):
     return medallion.silver_violations(history(spark, folder))
 

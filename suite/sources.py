@@ -134,8 +134,8 @@ def corrupt_split(spark, folder):
     return raw.select("c_custkey", "c_acctbal", F.col(CORRUPT).alias("bad_line"))
 
 
-@query("""WITH n AS (SELECT count(*) AS total_rows, count_if(c_acctbal < 0) AS corrupt_rows FROM customer)
-    SELECT '10%' AS tolerance, total_rows, corrupt_rows, round(0.1 * total_rows, 6) AS allowed_rows,
+@query("""WITH n AS (SELECT count(*) AS total_rows, CAST(count_if(c_acctbal < 0) AS BIGINT) AS corrupt_rows FROM customer)
+    SELECT '10%' AS tolerance, total_rows, corrupt_rows, CAST(round(0.1 * total_rows, 6) AS DOUBLE) AS allowed_rows,
     corrupt_rows <= 0.1 * total_rows AS is_valid FROM n
     UNION ALL SELECT '60%', total_rows, corrupt_rows, round(0.6 * total_rows, 6), corrupt_rows <= 0.6 * total_rows FROM n""")
 def corrupt_tolerance(spark, folder):

@@ -86,7 +86,7 @@ def current_table(spark, folder):
 @query("""SELECT 'orders' AS table_name, o_orderpriority || '.csv' AS filename, CAST(NULL AS VARCHAR) AS input_format,
     'MERGE' AS ingestion_mode, CASE WHEN o_orderpriority = '1-URGENT' THEN 'secret' ELSE 'internal' END AS output_zone,
     count(*) AS row_count, CAST(7 AS BIGINT) AS column_count, o_orderpriority = '1-URGENT' AS masking_applied,
-    count_if(o_orderstatus = 'P') AS error_count, CAST(NULL AS VARCHAR) AS error_message, 'SUCCESS' AS status,
+    CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS error_count, CAST(NULL AS VARCHAR) AS error_message, 'SUCCESS' AS status,
     CAST(NULL AS DOUBLE) AS duration, 'dev' AS env, TIMESTAMP '2025-12-01 12:00:01' AS log_ts, 2025 AS yyyy, 12 AS mm, 1 AS dd
     FROM orders GROUP BY o_orderpriority""")
 def execution_log(spark, folder):

@@ -31,7 +31,9 @@ def cleanse(df: DataFrame, rules: Sequence[ColumnRule], trim: bool = False) -> D
     """Type and check every ruled column of a text frame; other columns pass through.
 
     Three projections: transformed text, valid value, value with default and errors. They stay separate
-    in the plan wherever merging them would evaluate a parse twice, and run in one stage.
+    in the plan wherever merging them would evaluate a parse twice, and run in one stage. Stage the result
+    when it feeds several passes, or when rows are filtered by it: Catalyst would push the filter below and
+    parse a second time.
     """
     present = {c.lower() for c in df.columns}
     active = [r for r in rules if r.column_name.lower() in present]
@@ -64,8 +66,7 @@ def _collected(found: list[tuple[Column, Column]]) -> Column:
     listed = F.lit(None)
     if found:
         some = reduce(lambda a, b: a | b, [kind.isNotNull() for kind, _ in found])
-        none = F.array().cast(f"array<{ERROR_STRUCT}>")
-        parts = [F.when(kind.isNotNull(), F.array(entry)).otherwise(none) for kind, entry in found]
+        parts = [F.when(kind.isNotNull(), F.array(item)).otherwise(no_errors()) for kind, item in found]
         listed = F.when(some, F.concat(*parts))
     return listed.cast(f"array<{ERROR_STRUCT}>")
 
@@ -111,10 +112,20 @@ def _errors(i: int, rule: ColumnRule, raw: Column) -> list[tuple[Column, Column]
     return out
 
 
+def entry(name: Column, error_type: Column, raw: Column, default: Column | None = None) -> Column:
+    """An error in the layout of the error column."""
+    blank = F.lit(None).cast("string")
+    return F.struct(name.cast("string").alias("column_name"), error_type.alias("error_type"),
+                    raw.cast("string").alias("raw_value"),
+                    (blank if default is None else default.cast("string")).alias("default_applied"))
+
+
+def no_errors() -> Column:
+    return F.array().cast(f"array<{ERROR_STRUCT}>")
+
+
 def _entry(rule: ColumnRule, error_type: Column, raw: Column) -> tuple[Column, Column]:
-    return error_type, F.struct(
-        F.lit(rule.column_name).alias("column_name"), error_type.alias("error_type"),
-        raw.cast("string").alias("raw_value"), F.lit(rule.default_invalid).cast("string").alias("default_applied"))
+    return error_type, entry(F.lit(rule.column_name), error_type, raw, F.lit(rule.default_invalid))
 
 
 def error_lines(df: DataFrame, rules: Sequence[ColumnRule], table: str, keep: Sequence[str] = ()) -> DataFrame:

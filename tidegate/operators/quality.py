@@ -88,7 +88,7 @@ def check_data_quality(df: DataFrame, table: str, keys: Sequence[str], filename:
     if required and "line_id" in df.columns:
         hollow = F.array_compact(F.array(*[F.when(counts[c] == 0, F.lit(c)) for c in required]))
         lines = null_lines(df, required, table).withColumn("filename", name)
-        found.append(lines.filter(has_values & ~F.array_contains(profile.select(hollow).scalar(), "column_name")))
+        found.append(lines.filter(has_values & ~F.array_contains(profile.select(hollow).scalar(), F.col("column_name"))))
     return reduce(lambda a, b: a.unionByName(b), [f.select(*ERROR_COLUMNS) for f in found])
 
 

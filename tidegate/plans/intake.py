@@ -20,9 +20,9 @@ from tidegate.functions.files import INVALID_NAME_DATE, base_name, has_date, nam
 from tidegate.functions.settings import delimiter, tolerance_column
 from tidegate.operators.actions import (aborted, action_counts, action_summary, flagged_columns, invalid_columns,
                                         rejected, required, row_limit)
-from tidegate.operators.cleanse import ERRORS, cleanse, error_lines
+from tidegate.operators.cleanse import ERRORS, NULL_VALUE, cleanse, entry, error_lines, no_errors
 from tidegate.operators.modes import PROCESS_DATE, append, apply_mode, mode_action
-from tidegate.operators.quality import check_profile, column_profile, duplicate_keys, null_lines
+from tidegate.operators.quality import check_profile, column_profile, duplicate_keys
 from tidegate.operators.shape import column, fill_columns, missing_column_errors, missing_columns
 from tidegate.rules import FORMATS, ColumnRule, TableRule, compare_column, for_table, merge_keys, ordered
 from tidegate.session import BROADCAST_LIMIT, row_bytes, staged
@@ -32,7 +32,7 @@ from tidegate.sinks.tables import (CurrentTable, balanced, output_path, partitio
                                    write_partitioned)
 from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, read_files
 from tidegate.sources.discovery import list_files
-from tidegate.sources.lines import LINE, with_line_id
+from tidegate.sources.lines import LINE, split_offsets, with_line_id
 
 INVALID_ROW = "INVALID_ROW"
 
@@ -162,10 +162,13 @@ class _Load:
         self.data = [c for c in raw.columns if c not in (*LINEAGE, CORRUPT)]
         self.keys, self.compare = merge_keys(rules), compare_column(rules)
         self.typed = staged(cleanse(raw, rules, trim=rule.trim), "typed")
-        self.lines = with_line_id(self.typed).drop(BLOCK, ROW)
+        offsets = staged(split_offsets(self.typed, per_file=True), "offsets")
+        self.lines = with_line_id(self.typed, offsets=offsets).drop(BLOCK, ROW)
         self.verdicts = staged(self._verdicts(), "verdicts")
         self.accepted = self.verdicts.filter(F.col("_reason").isNull())
         self.rows = self._surviving()
+        self.required = [r.column_name for r in required(rules)]
+        self.profile = staged(self._profile(), "profile")
 
     def _verdicts(self) -> DataFrame:
         """One row per file: counts, size, and why it is refused (if it is)."""
@@ -185,61 +188,64 @@ class _Load:
         limit = row_limit(flagged_columns(self.rules))
         return counts.select("*", limit.alias("_limit"), stop.alias("_abort"), reason.alias("_reason"))
 
+    def _passes(self) -> Column:
+        """A row that survives the error actions of its (accepted) file."""
+        kept = ~rejected(self.rules) & (invalid_columns(self.rules) <= F.col("_limit"))
+        return kept & F.col(CORRUPT).isNull() if self.rule.invalid_lines_generate else kept
+
     def _surviving(self) -> DataFrame:
-        """Rows that pass the error actions of their file."""
-        rows = self.lines.join(self.accepted.select(FILE, "_limit"), FILE)
-        rows = rows.filter(~rejected(self.rules) & (invalid_columns(self.rules) <= F.col("_limit")))
-        if self.rule.invalid_lines_generate:
-            rows = rows.filter(F.col(CORRUPT).isNull())
+        rows = self.lines.join(self.accepted.select(FILE, "_limit"), FILE).filter(self._passes())
         return rows.select(*[column(c) for c in self.data], LINE, FILE)
 
+    def _profile(self) -> DataFrame:
+        """Non-null counts per file of the surviving rows; a file that lost all rows has zeros."""
+        counted = column_profile(self.rows, self.data, FILE)
+        return self.accepted.select(FILE).join(counted, FILE, "left").na.fill(0)
+
     def quality_errors(self) -> DataFrame:
         """Every error of the load, staged, since both the log and the counts need it."""
         table = self.rule.table_name
-        usable = self.verdicts.filter(F.col("_reason").isNull() | F.col("_abort").isNotNull())
-        checked = self.lines.join(usable.select(FILE), FILE, "left_semi")
-        found = [error_lines(checked, self.rules, table, [FILE]), self._bad_files()]
-        if required(self.rules):
+        found = [self._line_errors(), self._bad_files(),
+                 check_profile(self.profile, self.data, self.keys, self.required, table, F.col(FILE))
+                 .withColumnRenamed("filename", FILE)]
+        if self.required:
             found.append(action_summary(self.verdicts, self.rules, "_rows", [FILE])
                          .withColumn("error_message", F.col("error_type")))
-            found.append(self._refused_rows())
-        found += self._file_checks()
+        if self.keys:
+            repeated = duplicate_keys(self.rows, self.keys, table, F.col(FILE), FILE)
+            found.append(repeated.withColumnRenamed("filename", FILE).join(
+                self.profile.filter(self._filled()).select(FILE), FILE, "left_semi"))
         return staged(reduce(append, found), "errors")
 
+    def _filled(self) -> Column:
+        return F.greatest(F.lit(0).cast("long"), *[F.col(f"_n{i}") for i in range(len(self.data))]) > 0
+
+    def _line_errors(self) -> DataFrame:
+        """All errors that belong to a line, in one pass: those found while cleansing, refused rows (whole,
+        as JSON), and nulls that remain in required columns which are not null throughout."""
+        hollow = F.array_compact(F.array(*[
+            F.when(F.col(f"_n{self.data.index(c)}") == 0, F.lit(c)) for c in self.required]).cast("array<string>"))
+        files = self.verdicts.filter(F.col("_reason").isNull() | F.col("_abort").isNotNull()).join(
+            self.profile.select(FILE, self._filled().alias("_filled"), hollow.alias("_hollow")), FILE, "left")
+        rows = self.lines.join(files.select(FILE, "_limit", "_filled", "_hollow"), FILE)
+        # Files that are not accepted have no profile.
+        refused = F.col("_filled").isNotNull() & ~rejected(self.rules) & (invalid_columns(self.rules) > F.col("_limit"))
+        whole = F.to_json(F.struct(*[column(c) for c in self.data]))
+        parts = [F.coalesce(F.col(ERRORS), no_errors()),
+                 F.when(refused, F.array(entry(F.lit(None), F.lit(INVALID_ROW), whole))).otherwise(no_errors())]
+        for name in self.required:
+            hit = (F.col("_filled") & self._passes() & column(name).isNull()
+                   & ~F.array_contains("_hollow", F.lit(name)))
+            parts.append(F.when(hit, F.array(entry(F.lit(name), F.lit(NULL_VALUE), F.lit(None))))
+                         .otherwise(no_errors()))
+        listed = rows.select(FILE, LINE, F.concat(*parts).alias(ERRORS))
+        return error_lines(listed, self.rules, self.rule.table_name, [FILE])
+
     def _bad_files(self) -> DataFrame:
         bad = self.verdicts.filter(F.col("_reason").isNotNull() & F.col("_abort").isNull())
         return bad.select(FILE, F.lit("FILE_REJECTED").alias("error_type"), F.col("_reason").alias("error_message"),
                           F.greatest(F.col("_corrupt"), F.lit(1)).cast("long").alias("error_count"))
 
-    def _refused_rows(self) -> DataFrame:
-        """Rows with too many nulls, whole, as JSON."""
-        rows = self.lines.join(self.accepted.select(FILE, "_limit"), FILE)
-        bad = rows.filter(~rejected(self.rules) & (invalid_columns(self.rules) > F.col("_limit")))
-        return bad.select(FILE, LINE, F.lit(INVALID_ROW).alias("error_type"),
-                          F.lit(INVALID_ROW).alias("error_message"),
-                          F.to_json(F.struct(*[column(c) for c in self.data])).alias("raw_value"),
-                          F.lit(1).cast("long").alias("error_count"))
-
-    def _file_checks(self) -> list[DataFrame]:
-        """Empty files, null and repeated keys, nulls in required columns of the surviving rows."""
-        table, must = self.rule.table_name, [r.column_name for r in required(self.rules)]
-        counted = column_profile(self.rows, self.data, FILE)
-        # A file that lost all rows has no group of its own.
-        profile = staged(self.accepted.select(FILE).join(counted, FILE, "left").na.fill(0), "profile")
-        found = [check_profile(profile, self.data, self.keys, must, table, F.col(FILE))
-                 .withColumnRenamed("filename", FILE)]
-        counts = {c: F.col(f"_n{i}") for i, c in enumerate(self.data)}
-        filled = profile.filter(F.greatest(F.lit(0).cast("long"), *counts.values()) > 0)
-        if self.keys:
-            repeated = duplicate_keys(self.rows, self.keys, table, F.col(FILE), FILE)
-            found.append(repeated.withColumnRenamed("filename", FILE).join(filled.select(FILE), FILE, "left_semi"))
-        if must:
-            hollow = F.array_compact(F.array(*[F.when(counts[c] == 0, F.lit(c)) for c in must]))
-            nulls = null_lines(self.rows, must, table, [FILE]).join(
-                filled.select(FILE, hollow.alias("_hollow")), FILE)
-            found.append(nulls.filter(~F.array_contains("_hollow", F.col("column_name"))).drop("_hollow"))
-        return found
-
     def write_quarantine(self) -> None:
         """Corrupt lines as received, where the table asks for it."""
         if self.rule.invalid_lines_generate:

@@ -89,6 +89,9 @@ def read_delimited(spark: SparkSession, path: str, rule: TableRule, columns: Seq
             names = found
         elif len(found) != len(names):
             raise ValueError(f"{rule.table_name}: {len(names)} columns configured, {len(found)} in the file")
+    if capture_corrupt:
+        # A pruned parse would keep only the selected fields of a corrupt line.
+        reader = reader.option("columnPruning", False)
     df = reader.schema(text_schema(names, capture_corrupt)).csv(path)
     return _finish(df, rule, names, lineage)
 

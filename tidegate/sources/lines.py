@@ -22,14 +22,15 @@ def split_offsets(df: DataFrame, per_file: bool) -> DataFrame:
     return splits.select(FILE, BLOCK, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
 
 
-def with_line_id(df: DataFrame, per_file: bool = True) -> DataFrame:
+def with_line_id(df: DataFrame, per_file: bool = True, offsets: DataFrame | None = None) -> DataFrame:
     """Number lines 1..n in file order from the lineage columns of a scan.
 
     Counting splits is a narrow first pass; the second pass adds an offset to the position inside the
     split, so no line is shuffled. ``per_file=False`` continues the count through the files in name order.
+    A frame that is read several times passes its stored ``offsets``.
     """
     pin_splits(df.sparkSession)
-    offsets = split_offsets(df, per_file)
+    offsets = split_offsets(df, per_file) if offsets is None else offsets
     kept = [F.col(f"`{c}`") for c in df.columns if c != LINE]
     line = (F.col(ROW) - F.col("_first") + F.col("_before") + 1).alias(LINE)
     return df.join(offsets, [FILE, BLOCK]).select(*kept, line)
