@@ -28,10 +28,10 @@ from tidegate.rules import FORMATS, ColumnRule, TableRule, compare_column, for_t
 from tidegate.session import BROADCAST_LIMIT, row_bytes, staged
 from tidegate.sinks.catalog import register_table
 from tidegate.sinks.logs import append_log, execution_rows, quality_rows, run_row
-from tidegate.sinks.tables import (CurrentTable, balanced, output_path, partition_types, read_table, stamp, without,
+from tidegate.sinks.tables import (CurrentTable, balanced, is_absent, output_path, partition_types, read_table, stamp, without,
                                    write_partitioned)
 from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, read_files
-from tidegate.sources.discovery import list_files
+from tidegate.sources.discovery import empty_files, list_files
 from tidegate.sources.lines import LINE, split_offsets, with_line_id
 
 INVALID_ROW = "INVALID_ROW"
@@ -138,18 +138,16 @@ def base_of(path: str) -> str:
 def _pick_files(spark: SparkSession, rule: TableRule, inbox: str) -> tuple[str, str | None, str] | str:
     """(path, glob, name) to read, or why there is nothing to read."""
     glob = name_glob(rule.filename_pattern)
-    listing = list_files(spark, inbox, glob)
-    full = F.when(F.col("length") > 0, F.col("name"))
-    chosen = full if rule.ignore_empty else F.col("name")
     try:
-        seen = listing.agg(F.count_if(F.col("length") == 0).alias("empty"), F.min(chosen).alias("name"),
-                           F.min_by("path", chosen).alias("path")).first()
-    except AnalysisException:
-        seen = None
-    if seen is None or (seen["name"] is None):
+        seen = list_files(spark, inbox, glob).agg(F.min("name").alias("name"), F.min_by("path", "name").alias("path")).first()
+        if not rule.ignore_empty and empty_files(spark, inbox, glob):
+            return f"Empty file for {rule.filename_pattern}"
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
+        return f"No file matched {rule.filename_pattern}"
+    if seen["name"] is None:
         return f"No file matched {rule.filename_pattern}"
-    if seen["empty"] and not rule.ignore_empty:
-        return f"Empty file for {rule.filename_pattern}"
     return (inbox, glob, seen["name"]) if rule.merge_files else (seen["path"], None, seen["name"])
 
 

@@ -11,12 +11,23 @@ from tidegate.functions.files import base_name, name_date, name_error, name_part
 from tidegate.rules import TableRule
 
 
-def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """(path, name, length) of the files below a folder; contents are not read."""
+def folder_frame(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(folder).select("path", base_name(F.col("path")).alias("name"), "length")
+    return reader.load(folder)
+
+
+def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """(path, name, length) of the files below a folder that hold data; contents are not read."""
+    files = folder_frame(spark, folder, glob)
+    return files.select("path", base_name(F.col("path")).alias("name"), "length")
+
+
+def empty_files(spark: SparkSession, folder: str, glob: str | None = None) -> int:
+    """Number of files without content. A scan skips these, the listing behind it does not."""
+    files = folder_frame(spark, folder, glob)
+    return len(files.inputFiles()) - files.select("path").count()
 
 
 def match_files(listing: DataFrame, rules: Sequence[TableRule]) -> DataFrame:
