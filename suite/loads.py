@@ -56,9 +56,10 @@ NEWEST = "QUALIFY row_number() OVER (PARTITION BY custkey ORDER BY orderdate DES
     max(orderdate) AS last_day FROM s GROUP BY 1, 2 ORDER BY 1 DESC, 2 DESC""")
 def governed_orders(spark, folder):
     """Raw text to typed rows, error actions, newest-wins merge into a prior state, monthly summary."""
-    typed = staged(cleanse(raw_orders(spark, folder), RULES, trim=True), "typed")
+    delivered = staged(raw_orders(spark, folder), "delivered")
+    typed = staged(cleanse(delivered, RULES, trim=True), "typed")
     clean = actions.apply_actions(typed, RULES).drop("_errors").withColumn("_line", F.col("orderkey"))
-    state = merge_newest(None, clean.filter("status = 'F'"), ["custkey"], "orderdate", ["_line"])
+    state = staged(merge_newest(None, clean.filter("status = 'F'"), ["custkey"], "orderdate", ["_line"]), "state")
     state = merge_newest(state, clean.filter("status <> 'F'"), ["custkey"], "orderdate", ["_line"])
     return state.groupBy(F.year("orderdate").alias("yyyy"), F.month("orderdate").alias("mm")).agg(
         F.count(F.lit(1)).alias("total_records"),

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from suite.base import collector, table
+from tidegate.functions.files import stem
 from tidegate.operators.shape import dedup_columns
 from tidegate.session import fresh_path
 from tidegate.sinks.catalog import register_table
@@ -23,7 +24,7 @@ ORDER = ["o_orderkey", "o_orderstatus", "o_totalprice"]
 def monthly(df):
     """Orders stamped with the month of their date, as a monthly file would be."""
     return stamp(df, {"yyyy": F.year("o_orderdate"), "mm": F.month("o_orderdate")},
-                 F.concat(F.lit("/drop/orders_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".csv")), AT)
+                 stem(F.concat(F.lit("/drop/orders_"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".csv"))), AT)
 
 
 @query("""SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END

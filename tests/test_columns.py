@@ -74,6 +74,26 @@ def test_date_forms(spark):
     assert values(df.select(slow.cast("date"))) == [d for _, d in FORMS]
 
 
+ODD = ["1", "+1", "-7 ", "\t8\n", "1.0", ".5", "5.", "1e3", "1E-2", "inf", "-Infinity", "NaN", "0x1p3", "1d", "2f", "1,5", "", " ",
+       "--1", "n/a", "abc", "1a", "99999999999", "９", "1 2", "+", "e5", "true", "T", "yes", "No", "0", "oui", "\x7f3"]
+
+
+@pytest.mark.parametrize("token", ["INT", "LONG", "FLOAT", "DOUBLE", "DECIMAL", "BOOLEAN"])
+def test_guards_never_stop_a_good_value(spark, token):
+    kind = spark_type(token, 20, 4)
+    df = spark.createDataFrame([(v,) for v in ODD], "v string")
+    plain = F.translate(F.col("v"), ",", ".").try_cast(kind) if token != "BOOLEAN" else F.col("v").try_cast(kind)
+    assert list(map(str, values(df.select(safe_cast(F.col("v"), kind))))) == list(map(str, values(df.select(plain))))
+
+
+def test_date_guards_never_stop_a_good_value(spark):
+    dates = spark.sql("SELECT explode(sequence(timestamp'2023-12-25 23:59:59', timestamp'2024-03-05 00:00:00', interval 7 hours)) AS t")
+    for pattern in patterns_for(None):
+        text = dates.select(F.date_format("t", pattern).alias("v"))
+        odd = text.filter(~parse_timestamp(F.col("v"), [pattern]).eqNullSafe(F.try_to_timestamp("v", F.lit(pattern))))
+        assert odd.count() == 0 and text.filter(parse_timestamp(F.col("v"), [pattern]).isNull()).count() == 0
+
+
 def test_configured_pattern_first(spark):
     df = spark.createDataFrame([("01/02/2025",), ("3 Jan 2025",)], "v string")
     assert values(df.select(parse_temporal(F.col("v"), T.DateType(), "MM/dd/yyyy")))[0] == dt.date(2025, 1, 2)

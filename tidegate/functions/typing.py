@@ -20,6 +20,12 @@ TYPE_TOKENS = {
 }
 DEFAULT_PRECISION, DEFAULT_SCALE = 38, 18
 
+# Text Spark reads as a number or a boolean. Surrounding control characters are allowed.
+BLANK = r"[\x00-\x20\x7f]*"
+INTEGER_TEXT = rf"^{BLANK}[+-]?[0-9]+{BLANK}$"
+NUMBER_TEXT = rf"(?iU)^{BLANK}[+-]?(\.?\d[\da-fpx.+-]*|inf(inity)?|nan){BLANK}$"
+BOOLEAN_TEXT = ("t", "true", "y", "yes", "1", "f", "false", "n", "no", "0")
+
 
 def spark_type(token: str | None, precision: int | None = None, scale: int | None = None) -> T.DataType:
     word = (token or "").strip().upper()
@@ -39,8 +45,25 @@ def decimal_point(col: Column) -> Column:
     return F.translate(col, ",", ".")
 
 
+def castable(col: Column, data_type: T.DataType) -> Column | None:
+    """Whether text looks like a value of the type; may let bad text through, never stops good text.
+
+    A failed cast costs an exception inside the JVM, several hundred times the price of this test.
+    """
+    if isinstance(data_type, T.IntegralType):
+        return col.rlike(INTEGER_TEXT)
+    if isinstance(data_type, T.NumericType):
+        return col.rlike(NUMBER_TEXT)
+    if isinstance(data_type, T.BooleanType):
+        return F.lower(F.trim(col)).isin(*BOOLEAN_TEXT)
+    return None
+
+
 def safe_cast(col: Column, data_type: T.DataType) -> Column:
     """Typed value, or NULL when the text does not represent one."""
     if isinstance(data_type, T.StringType):
         return col
-    return (decimal_point(col) if isinstance(data_type, T.NumericType) else col).try_cast(data_type)
+    text = decimal_point(col) if isinstance(data_type, T.NumericType) else col
+    likely = castable(text, data_type)
+    value = text.try_cast(data_type)
+    return value if likely is None else F.when(likely, value)

@@ -15,6 +15,7 @@ from tidegate.functions.text import TRANSFORMS, transform
 from tidegate.functions.typing import is_temporal, safe_cast, spark_type
 from tidegate.operators.shape import column
 from tidegate.rules import ColumnRule
+from tidegate.session import tune
 
 ERRORS = "_errors"
 ERROR_STRUCT = "struct<column_name:string,error_type:string,raw_value:string,default_applied:string>"
@@ -35,6 +36,7 @@ def cleanse(df: DataFrame, rules: Sequence[ColumnRule], trim: bool = False) -> D
     when it feeds several passes, or when rows are filtered by it: Catalyst would push the filter below and
     parse a second time.
     """
+    tune(df.sparkSession)
     present = {c.lower() for c in df.columns}
     active = [r for r in rules if r.column_name.lower() in present]
     names = {r.column_name.lower(): i for i, r in enumerate(active)}
@@ -129,9 +131,13 @@ def _entry(rule: ColumnRule, error_type: Column, raw: Column) -> tuple[Column, C
 
 
 def error_lines(df: DataFrame, rules: Sequence[ColumnRule], table: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per error of a cleansed frame that has ``line_id``; a narrow, shuffle-free pass."""
+    """One row per error of a cleansed frame that has ``line_id``; a narrow, shuffle-free pass.
+
+    The outer explode matters: for a plain one Catalyst infers a filter on the array and pushes it below
+    the projections, where the whole cleansing would run a second time.
+    """
     tokens = F.create_map(*[F.lit(x) for r in rules for x in (r.column_name, r.field_type)])
-    flat = df.filter(F.col(ERRORS).isNotNull()).select(*keep, "line_id", F.explode(ERRORS).alias("_e"))
+    flat = df.select(*keep, "line_id", F.explode_outer(ERRORS).alias("_e")).filter(F.col("_e").isNotNull())
     place = F.concat(F.lit("[line "), F.col("line_id"), F.lit(", value="),
                      F.coalesce(F.col("_e.raw_value"), F.lit("None")), F.lit("]"))
     kind = F.col("_e.error_type")

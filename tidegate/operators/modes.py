@@ -95,8 +95,11 @@ def merge_newest(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]
     known = base.select([column(k) for k in keys])
     if small:
         # At most one row per batch key survives, so this side is bounded by the batch.
-        known = F.broadcast(known.join(F.broadcast(keyed.select([column(k) for k in keys])), list(keys), "left_semi")
-                            .distinct())
+        incoming = F.broadcast(keyed.select([column(k) for k in keys]))
+        known = F.broadcast(known.join(incoming, list(keys), "left_semi").distinct())
+    else:
+        # Combined before the shuffle: a key the target holds many times counts once.
+        known = known.distinct()
     added = keyed.join(known, list(keys), "left_anti").unionByName(loose)
     state = kept.unionByName(conform(added, target))
     return state if small else state.unionByName(target.filter(~no_null(keys)))

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.files import INVALID_NAME_DATE, base_name, has_date, name_error, name_glob, name_parts
+from tidegate.functions.files import INVALID_NAME_DATE, base_name, has_date, name_error, name_glob, name_parts, stem
 from tidegate.functions.settings import delimiter, tolerance_column
 from tidegate.operators.actions import (aborted, action_counts, action_summary, flagged_columns, invalid_columns,
                                         rejected, required, row_limit)
@@ -28,7 +28,7 @@ from tidegate.rules import FORMATS, ColumnRule, TableRule, compare_column, for_t
 from tidegate.session import BROADCAST_LIMIT, row_bytes, staged
 from tidegate.sinks.catalog import register_table
 from tidegate.sinks.logs import append_log, execution_rows, quality_rows, run_row
-from tidegate.sinks.tables import (CurrentTable, balanced, is_absent, output_path, partition_types, read_table, stamp, without,
+from tidegate.sinks.tables import (PARTITIONS, CurrentTable, balanced, is_absent, output_path, partition_types, read_table, stamp, without,
                                    write_partitioned)
 from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, read_files
 from tidegate.sources.discovery import empty_files, list_files
@@ -113,15 +113,15 @@ def load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]
 
     load = _Load(spark, rule, rules, layout, at, raw)
     errors = load.quality_errors()
-    append_log(quality_rows(errors.withColumn("filename", base_name(F.col(FILE))), rule.table_name, rule.zone,
-                            layout.env, at), layout.quality_log)
+    named = errors.join(load.verdicts.select(FILE, "filename"), FILE)
+    append_log(quality_rows(named, rule.table_name, rule.zone, layout.env, at), layout.quality_log)
     load.write_quarantine()
     load.write_tables()
 
     counted = errors.groupBy(FILE).agg(F.count(F.lit(1)).alias("error_count"))
     runs = load.verdicts.join(counted, FILE, "left").select(
         *[F.lit(v).alias(k) for k, v in common.items()],
-        base_name(F.col(FILE)).alias("filename"), F.col("_rows").alias("row_count"),
+        "filename", F.col("_rows").alias("row_count"),
         F.lit(len(load.data)).alias("column_count"), F.coalesce("error_count", F.lit(0)).alias("error_count"),
         F.coalesce("_reason", F.coalesce("error_count", F.lit(0)).cast("string")).alias("error_message"),
         F.when(F.col("_reason").isNull(), "SUCCESS").otherwise("FAILED").alias("status"),
@@ -184,7 +184,15 @@ class _Load:
             .when(stop.isNotNull(), F.concat(F.lit("ICT_DRIVEN_ABORT on "), stop))
         )
         limit = row_limit(flagged_columns(self.rules))
-        return counts.select("*", limit.alias("_limit"), stop.alias("_abort"), reason.alias("_reason"))
+        return counts.select("*", *self._file_facts(), limit.alias("_limit"), stop.alias("_abort"),
+                             reason.alias("_reason"))
+
+    def _file_facts(self) -> list[Column]:
+        """What the name of a file says, worked out once per file instead of once per line."""
+        parts = name_parts(F.col(FILE))
+        dated = has_date(self.rule.filename_pattern)
+        found = [(parts[p] if dated else F.lit(None)).cast("int").alias(f"_{p}") for p in PARTITIONS]
+        return [base_name(F.col(FILE)).alias("filename"), stem(F.col(FILE)).alias("_stem"), *found]
 
     def _passes(self) -> Column:
         """A row that survives the error actions of its (accepted) file."""
@@ -192,8 +200,9 @@ class _Load:
         return kept & F.col(CORRUPT).isNull() if self.rule.invalid_lines_generate else kept
 
     def _surviving(self) -> DataFrame:
-        rows = self.lines.join(self.accepted.select(FILE, "_limit"), FILE).filter(self._passes())
-        return rows.select(*[column(c) for c in self.data], LINE, FILE)
+        facts = ["_stem", *[f"_{p}" for p in PARTITIONS]]
+        rows = self.lines.join(self.accepted.select(FILE, "_limit", *facts), FILE).filter(self._passes())
+        return rows.select(*[column(c) for c in self.data], LINE, FILE, *facts)
 
     def _profile(self) -> DataFrame:
         """Non-null counts per file of the surviving rows; a file that lost all rows has zeros."""
@@ -253,11 +262,9 @@ class _Load:
                 self.layout.quarantine(self.rule.table_name))
 
     def _stamped(self, existing: DataFrame | None) -> DataFrame:
-        dated: dict[str, Column] = {}
-        if has_date(self.rule.filename_pattern):
-            parts = name_parts(F.col(FILE))
-            dated = {p: parts[p] for p in ("yyyy", "mm", "dd")}
-        return stamp(self.rows, dated, F.col(FILE), self.at, partition_types(existing))
+        dated = {p: F.col(f"_{p}") for p in PARTITIONS}
+        stamped = stamp(self.rows, dated, F.col("_stem"), self.at, partition_types(existing))
+        return without(stamped, "_stem", *[f"_{p}" for p in PARTITIONS])
 
     def write_tables(self) -> None:
         """Append to history, then bring the current table to its new state."""

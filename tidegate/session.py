@@ -29,14 +29,20 @@ def local_session(app: str = "tidegate", cores: str = "8", shuffle_partitions: i
     return spark
 
 
-def pin_splits(spark: SparkSession) -> None:
-    """Fix the lower bound for scan splits to the cores seen now.
-
-    Spark derives it from the executors alive at planning time, so two scans of the same file could be
-    split differently while executors come and go. Line numbers rely on equal splits.
+def tune(spark: SparkSession) -> None:
+    """Session settings the operators rely on, unless the session has its own.
+
+    * Scans get a fixed lower bound of splits. Spark derives it from the executors alive at planning time,
+      so two scans of a file could be split differently while executors come and go; line numbers rely on
+      equal splits.
+    * Generated methods stay below the size HotSpot compiles. A larger one (many ruled columns in one stage)
+      would be interpreted, several times slower; Spark then splits the code by expression instead.
     """
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    wanted = {"spark.sql.files.minPartitionNum": (None, str(spark.sparkContext.defaultParallelism)),
+              "spark.sql.codegen.hugeMethodLimit": ("65535", "8000")}
+    for name, (default, value) in wanted.items():
+        if spark.conf.get(name, None) in (None, default):
+            spark.conf.set(name, value)
 
 
 def work_dir(spark: SparkSession) -> str:

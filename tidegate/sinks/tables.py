@@ -28,6 +28,7 @@ def stamp(df: DataFrame, parts: Mapping[str, Column | int | None] | None = None,
           partition_types: Mapping[str, str] | None = None) -> DataFrame:
     """Audit columns first, partition columns last, no two columns with the same name.
 
+    ``filename`` is a path, or a column that already holds the name without folder and extension.
     Date parts a file name lacks come from the processing date, a missing day is the first.
     """
     at = F.current_timestamp() if processed is None else processed
@@ -42,7 +43,7 @@ def stamp(df: DataFrame, parts: Mapping[str, Column | int | None] | None = None,
     }
     audit = {PROCESS_DATE: at.cast("timestamp")}
     if filename is not None:
-        audit[FILE_NAME] = stem(filename if isinstance(filename, Column) else F.lit(filename))
+        audit[FILE_NAME] = filename if isinstance(filename, Column) else stem(F.lit(filename))
     kinds = partition_types or {}
     stamped = dedup_columns(df).withColumns(
         audit | {k: v.cast(kinds.get(k, "int")) for k, v in values.items()})

@@ -37,7 +37,7 @@ def match_files(listing: DataFrame, rules: Sequence[TableRule]) -> DataFrame:
     """
     name = F.col("name")
     hits = F.array(*[F.when(name.rlike(name_regex(r.filename_pattern)), F.lit(r.table_name)) for r in rules])
-    return listing.select("*", F.explode(F.array_compact(hits)).alias("table_name"))
+    return listing.select("*", F.explode_outer(hits).alias("table_name")).filter(F.col("table_name").isNotNull())
 
 
 def selected_files(matched: DataFrame, rules: Sequence[TableRule]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.session import pin_splits
+from tidegate.session import tune
 from tidegate.sources.delimited import BLOCK, FILE, ROW
 
 LINE = "line_id"
@@ -29,7 +29,7 @@ def with_line_id(df: DataFrame, per_file: bool = True, offsets: DataFrame | None
     split, so no line is shuffled. ``per_file=False`` continues the count through the files in name order.
     A frame that is read several times passes its stored ``offsets``.
     """
-    pin_splits(df.sparkSession)
+    tune(df.sparkSession)
     offsets = split_offsets(df, per_file) if offsets is None else offsets
     kept = [F.col(f"`{c}`") for c in df.columns if c != LINE]
     line = (F.col(ROW) - F.col("_first") + F.col("_before") + 1).alias(LINE)
