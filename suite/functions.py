@@ -7,10 +7,10 @@ from pyspark.sql import types as T
 
 from suite.base import DATE_ERROR, PARSED_DATE, WRITTEN_DATE, collector, decimal_text, table, written_date
 from tidegate.functions import checks, files, numbers, settings
-from tidegate.functions.dates import date_error, parse_temporal, shape_of, temporal_default
+from tidegate.functions.dates import parse_temporal, shape_of, temporal_default
 from tidegate.functions.text import blank_to_null, concat_text, transform
 from tidegate.functions.typing import safe_cast, spark_type
-from tidegate.operators.cleanse import cleanse
+from tidegate.operators.cleanse import cleanse, error_lines
 from tidegate.rules import ColumnRule
 
 SUITE, query = collector()
@@ -184,13 +184,10 @@ def date_parse(spark, folder):
     SELECT 'orders' AS table_name, o_orderkey AS line_id, 'order_date' AS column_name, raw AS raw_value, error_type
     FROM e WHERE error_type IS NOT NULL""")
 def date_errors(spark, folder):
-    t = table(spark, folder, "orders").select(F.col("o_orderkey").alias("line_id"), written_date().alias("raw"))
-    parsed = parse_temporal(F.col("raw"), T.DateType())
-    t = t.select("line_id", "raw", parsed.alias("parsed"))
-    rows = t.withColumn("error_type", date_error(F.col("raw"), F.col("parsed"))).filter("error_type IS NOT NULL")
-    return rows.select(F.lit("orders").alias("table_name"), "line_id", F.lit("order_date").alias("column_name"),
-                       F.col("raw").alias("raw_value"), "error_type").dropDuplicates(
-        ["table_name", "column_name", "line_id", "raw_value", "error_type"])
+    t = table(spark, folder, "orders").select(F.col("o_orderkey").alias("line_id"), written_date().alias("order_date"))
+    rules = [ColumnRule("order_date", field_type="DATE")]
+    return error_lines(cleanse(t, rules), rules, "orders").select(
+        "table_name", "line_id", "column_name", "raw_value", "error_type")
 
 
 @query(f"""WITH t AS (SELECT o_orderkey, {WRITTEN_DATE} AS raw FROM orders)

@@ -47,9 +47,9 @@ def test_whole_load(spark, put, layout):
     put("site_20251203.csv", "id,name,date\n1,newer,2026-03-01\n2,bob,01/12/2025\n9,older,20240101\n10,n,20240101\n")
     run(spark, [site()], COLUMNS, layout)
     state = CurrentTable(spark, layout.table(site(), "last")).read()
-    # The null-key row of the first file comes again, since it can match nothing.
-    assert sorted(values(state.filter("id IS NOT NULL"), "id", "name")) == sorted(
-        [(1, "NEWER"), (2, "BOB"), (3, None), (9, "ZED"), (10, "N")], key=repr) or state.filter("id = 1").first()["name"] == "NEWER"
+    # The first two files are still in the inbox; their row without a key comes again, since it matches nothing.
+    assert sorted(values(state.filter("id IS NOT NULL"), "id", "name")) == [
+        (1, "NEWER"), (2, "BOB"), (3, None), (9, "ZED"), (10, "N")]
     assert state.filter("id IS NULL").count() == 2
     assert read_table(spark, layout.execution_log).count() == 5
 
@@ -65,7 +65,7 @@ def test_first_file_only_without_merging(spark, put, layout):
 
 def test_snapshot_append_and_key_replace(spark, put, layout):
     path = put("site_20251201.csv", "id,name,date\n1,a,20250101\n2,b,20250101\n")
-    expected = {"OVERWRITE": [2, 3], "APPEND": [2, 2, 3, 3], "FULL_KEY_REPLACE": [2, 3], "odd": [2, 2, 3, 3]}
+    expected = {"OVERWRITE": [2, 3], "APPEND": [1, 2, 2, 3], "FULL_KEY_REPLACE": [1, 2, 3], "odd": [1, 2, 2, 3]}
     for mode in expected:
         rule = site(mode, zone=mode.lower())
         run(spark, [rule], COLUMNS, layout)
@@ -75,8 +75,7 @@ def test_snapshot_append_and_key_replace(spark, put, layout):
         rule = site(mode, zone=mode.lower())
         log = run(spark, [rule], COLUMNS, layout)
         got = sorted(values(CurrentTable(spark, layout.table(rule, "last")).read(), "id"))
-        want = {"OVERWRITE": [2, 3], "APPEND": [1, 2, 2, 3], "FULL_KEY_REPLACE": [1, 2, 3], "odd": [1, 2, 2, 3]}[mode]
-        assert got == want, mode
+        assert got == ids, mode
     assert "WARN" in {s for s, *_ in statuses(log).values()}
 
 
@@ -105,7 +104,7 @@ def test_failures_are_logged(spark, put, layout):
 
 
 def test_allowed_missing_columns(spark, put, layout):
-    put("site_20251201.csv", "id,name,extra\n1,a,more\n")
+    put("site_20251201.csv", "id,name,extra\n1,a, more \n")
     run(spark, [site("APPEND", delete_columns_allowed=True)], COLUMNS, layout)
     row = CurrentTable(spark, layout.table(site(), "last")).read().first()
     assert (row["id"], row["extra"], row["date"]) == (1, "more", dt.date(2000, 1, 1))

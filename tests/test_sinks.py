@@ -65,6 +65,10 @@ def test_register(spark, tmp_path):
     assert not register_table(spark, table, str(tmp_path / "two"))
     assert not register_table(spark, table, str(tmp_path / "two"), if_exists="append")
     assert values(spark.table(table), "v") == ["one"]
+    more = stamp(spark.createDataFrame([("later",)], "v string"), {"yyyy": 2026}, None, AT)
+    write_partitioned(more, str(tmp_path / "one"))
+    assert not register_table(spark, table, str(tmp_path / "one"))
+    assert sorted(values(spark.table(table), "v")) == ["later", "one"]
     with pytest.raises(ValueError):
         register_table(spark, table, str(tmp_path / "two"), if_exists="errorexists")
     assert register_table(spark, table, str(tmp_path / "two"), if_exists="overwrite")
@@ -101,7 +105,7 @@ def test_reports(spark):
     assert recent.count() == 50 and recent.first()["filename"] == "f199"
     assert "TakeOrderedAndProject" in recent._jdf.queryExecution().executedPlan().toString()
     assert {r["status"]: r["count"] for r in reports.status_stats(log).collect()} == {"FAILED": 50, "SUCCESS": 150}
-    quality = log.select("table_name", "filename", F.lit("c").alias("column_name"), F.col("id") if False else F.lit(None).cast("string").alias("error_message"),
+    quality = log.select("table_name", "filename", F.lit("c").alias("column_name"), F.lit(None).cast("string").alias("error_message"),
                          "error_count", F.lit("z").alias("zone"), "env", "log_ts")
     reports.log_views(log, quality)
     assert reports.latest_runs_sql(spark).count() == 20 and reports.described_errors_sql(spark).count() == 0

@@ -29,7 +29,7 @@ def rule_type(rule: ColumnRule) -> T.DataType:
 
 
 def cleanse(df: DataFrame, rules: Sequence[ColumnRule], trim: bool = False) -> DataFrame:
-    """Type and check every ruled column of a text frame; other columns pass through.
+    """Type and check every ruled column of a text frame; other columns pass through (trimmed, if asked for).
 
     Three projections: transformed text, valid value, value with default and errors. They stay separate
     in the plan wherever merging them would evaluate a parse twice, and run in one stage. Stage the result
@@ -55,9 +55,14 @@ def cleanse(df: DataFrame, rules: Sequence[ColumnRule], trim: bool = False) -> D
     step = step.select("*", *[_valid(i, rule).alias(f"_v{i}") for i, rule in enumerate(active)])
 
     outputs, found = [], []
-    for name in df.columns:
-        i = names.get(name.lower())
-        outputs.append(column(name) if i is None else _value(i, active[i]).alias(name))
+    for field in df.schema.fields:
+        i = names.get(field.name.lower())
+        if i is not None:
+            outputs.append(_value(i, active[i]).alias(field.name))
+        elif trim and isinstance(field.dataType, T.StringType) and not field.name.startswith("_"):
+            outputs.append(F.trim(column(field.name)).alias(field.name))
+        else:
+            outputs.append(column(field.name))
     for i, rule in enumerate(active):
         found += _errors(i, rule, raw[i])
     return step.select(*outputs, _collected(found).alias(ERRORS))

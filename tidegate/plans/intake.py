@@ -25,7 +25,7 @@ from tidegate.operators.modes import PROCESS_DATE, append, apply_mode, mode_acti
 from tidegate.operators.quality import check_profile, column_profile, duplicate_keys
 from tidegate.operators.shape import column, fill_columns, missing_column_errors, missing_columns
 from tidegate.rules import FORMATS, ColumnRule, TableRule, compare_column, for_table, merge_keys, ordered
-from tidegate.session import BROADCAST_LIMIT, row_bytes, staged
+from tidegate.session import BROADCAST_LIMIT, row_bytes, sized, staged
 from tidegate.sinks.catalog import register_table
 from tidegate.sinks.logs import append_log, execution_rows, quality_rows, run_row
 from tidegate.sinks.tables import (PARTITIONS, CurrentTable, balanced, is_absent, output_path, partition_types, read_table, stamp, without,
@@ -46,6 +46,7 @@ class Layout:
     env: str = "dev"
     version: str = "v1"
     database: str | None = None
+    fmt: str = "parquet"
 
     @property
     def execution_log(self) -> str:
@@ -68,7 +69,7 @@ def run(spark: SparkSession, tables: Sequence[TableRule], columns: Sequence[Colu
     at = at or datetime.now()
     runs = [load_table(spark, rule, for_table(columns, rule.table_name), layout, at) for rule in tables]
     logged = staged(execution_rows(reduce(append, runs), layout.env, at).coalesce(1), "runs")
-    append_log(logged, layout.execution_log, files=1)
+    append_log(logged, layout.execution_log, 1, layout.fmt)
     return logged
 
 
@@ -107,14 +108,14 @@ def load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]
     lost = missing_columns(raw, names)
     if lost and not rule.delete_columns_allowed:
         rows = missing_column_errors(raw, names, rule.table_name, name)
-        append_log(quality_rows(rows, rule.table_name, rule.zone, layout.env, at), layout.quality_log, files=1)
+        append_log(quality_rows(rows, rule.table_name, rule.zone, layout.env, at), layout.quality_log, 1, layout.fmt)
         return failure(f"Missing columns {lost} in the file", name)
     raw = fill_columns(raw, names)
 
     load = _Load(spark, rule, rules, layout, at, raw)
     errors = load.quality_errors()
     named = errors.join(load.verdicts.select(FILE, "filename"), FILE)
-    append_log(quality_rows(named, rule.table_name, rule.zone, layout.env, at), layout.quality_log)
+    append_log(quality_rows(named, rule.table_name, rule.zone, layout.env, at), layout.quality_log, fmt=layout.fmt)
     load.write_quarantine()
     load.write_tables()
 
@@ -160,9 +161,10 @@ class _Load:
         self.data = [c for c in raw.columns if c not in (*LINEAGE, CORRUPT)]
         self.keys, self.compare = merge_keys(rules), compare_column(rules)
         self.typed = staged(cleanse(raw, rules, trim=rule.trim), "typed")
-        offsets = staged(split_offsets(self.typed, per_file=True), "offsets")
+        # One row per split and one per file: small beside the lines, but measured before they are broadcast.
+        offsets = sized(staged(split_offsets(self.typed, per_file=True), "offsets"))
         self.lines = with_line_id(self.typed, offsets=offsets).drop(BLOCK, ROW)
-        self.verdicts = staged(self._verdicts(), "verdicts")
+        self.verdicts = sized(staged(self._verdicts(), "verdicts"))
         self.accepted = self.verdicts.filter(F.col("_reason").isNull())
         self.rows = self._surviving()
         self.required = [r.column_name for r in required(rules)]
@@ -172,7 +174,7 @@ class _Load:
         """One row per file: counts, size, and why it is refused (if it is)."""
         counts = self.typed.groupBy(FILE).agg(
             F.count(F.lit(1)).alias("_rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("_corrupt"),
-            F.sum(row_bytes(self.data)).alias("_bytes"), *action_counts(self.rules))
+            F.sum(row_bytes(self.typed, self.data)).alias("_bytes"), *action_counts(self.rules))
         share = tolerance_column(F.lit(self.rule.reject_tolerance), F.col("_rows"))
         allowed = share * F.col("_rows")
         stop = aborted(self.rules, F.col("_rows"))
@@ -268,22 +270,26 @@ class _Load:
 
     def write_tables(self) -> None:
         """Append to history, then bring the current table to its new state."""
-        history = self.layout.table(self.rule, "all")
-        kinds = read_table(self.spark, history)
-        write_partitioned(without(self._stamped(kinds), FILE), history)
-        current = CurrentTable(self.spark, self.layout.table(self.rule, "last"))
+        fmt, history = self.layout.fmt, self.layout.table(self.rule, "all")
+        totals = self.accepted.agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("size"),
+                                   F.count_distinct(*[F.coalesce(f"_{p}", F.lit(0)) for p in PARTITIONS]).alias("days")
+                                   ).first()
+        # Files of one day fill one partition. Several days are first put together by day, or each task
+        # would write a small file for each of them.
+        spread = balanced if totals["days"] > 1 else (lambda df: df)
+        write_partitioned(spread(without(self._stamped(read_table(self.spark, history, fmt)), FILE)), history, fmt=fmt)
+        current = CurrentTable(self.spark, self.layout.table(self.rule, "last"), fmt)
         target = current.read()
         batch = self._stamped(target)
         action, _ = mode_action(self.rule.ingestion_mode)
         if action == "append":
-            location = current.append(without(batch, FILE))
+            location = current.append(spread(without(batch, FILE)))
         else:
-            size = self.verdicts.agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("n")).first()["n"]
             state = apply_mode(self.rule.ingestion_mode, target, batch, self.keys, self.compare or PROCESS_DATE,
-                               (FILE, LINE), size)
-            # A shuffled join spreads every day over all tasks; put days together again before writing.
-            shuffled = target is not None and action != "snapshot" and size > BROADCAST_LIMIT
-            location = current.replace(balanced(state) if shuffled else state)
+                               (FILE, LINE), totals["size"])
+            # A shuffled join leaves every day in all tasks.
+            joined = target is not None and action != "snapshot" and totals["size"] > BROADCAST_LIMIT
+            location = current.replace(balanced(state) if joined else spread(state))
         if self.layout.database:
             register_table(self.spark, f"{self.rule.table_name}_all", history, self.layout.database, "ignore")
             register_table(self.spark, f"{self.rule.table_name}_last", location, self.layout.database, "overwrite")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Above this many bytes no side of a join is broadcast by hand; Spark's own choice stands.
 BROADCAST_LIMIT = 128 * 1024 * 1024
@@ -70,21 +71,30 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_bytes(columns: Sequence[str]) -> Column:
-    """Upper estimate of a row's size in memory: text length plus a fixed share per column."""
-    parts = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in columns]
-    total = F.lit(16 * len(columns) + 16).cast("long")
-    for part in parts:
-        total = total + part
+def row_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Upper estimate of a row's size in memory: the length of its text plus a fixed share per column."""
+    names = set(columns or df.columns)
+    fields = [f for f in df.schema.fields if f.name in names]
+    total = F.lit(16 * (len(fields) + 1)).cast("long")
+    for field in fields:
+        name = "`" + field.name.replace("`", "``") + "`"
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
     return total
 
 
 def measured_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> int:
     """Size of a frame by one aggregation over it."""
-    names = list(columns or df.columns)
-    return df.agg(F.coalesce(F.sum(row_bytes(names)), F.lit(0)).alias("n")).first()["n"]
+    return df.agg(F.coalesce(F.sum(row_bytes(df, columns)), F.lit(0)).alias("n")).first()["n"]
 
 
 def broadcast_if_small(df: DataFrame, size: int | None, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Broadcast hint for a side of measured size; without a measurement Spark decides."""
     return F.broadcast(df) if size is not None and size <= limit else df
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Measure a stored frame and hint a broadcast when it is small enough."""
+    return broadcast_if_small(df, measured_bytes(df))

@@ -21,12 +21,18 @@ def register_table(spark: SparkSession, name: str, path: str, database: str = "d
         if if_exists == "errorexists":
             raise ValueError(f"table {database}.{name} is already registered")
         if if_exists != "overwrite":
+            find_partitions(spark, full)
             spark.catalog.refreshTable(f"{database}.{name}")
             return False
         spark.sql(f"DROP TABLE IF EXISTS {full}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     location = path.replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING {fmt} LOCATION '{location}'")
-    if spark.sql(f"SHOW COLUMNS IN {full}").filter("col_name = 'yyyy'").take(1):
-        spark.sql(f"MSCK REPAIR TABLE {full}")
+    find_partitions(spark, full)
     return True
+
+
+def find_partitions(spark: SparkSession, table: str) -> None:
+    """Make partitions written to the path known to the catalog."""
+    if spark.sql(f"SHOW COLUMNS IN {table}").filter("col_name = 'yyyy'").take(1):
+        spark.sql(f"MSCK REPAIR TABLE {table}")

@@ -73,7 +73,7 @@ def partition_types(existing: DataFrame | None) -> dict[str, str]:
 
 
 def write_partitioned(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode(mode).partitionBy(*PARTITIONS).save(path)
+    df.write.format(fmt).option("mergeSchema", True).mode(mode).partitionBy(*PARTITIONS).save(path)
 
 
 def balanced(df: DataFrame) -> DataFrame:
