@@ -82,7 +82,8 @@ def test_name_patterns():
 def test_name_dates(spark):
     rows = [("users_20251225_143059.csv", (2025, 12, 25, 14, 30, 59), None), ("a_202502.csv", (2025, 2, None, None, None, None), None),
             ("x/a_20250230.csv", (2025, 2, 30, None, None, None), files.INVALID_NAME_DATE),
-            ("plain.csv", (None,) * 6, files.MISSING_NAME_DATE), ("w_2025_12_01.csv", (2025, 12, 1, None, None, None), None)]
+            ("plain.csv", (None,) * 6, files.MISSING_NAME_DATE), ("w_2025_12_01.csv", (2025, 12, 1, None, None, None), None),
+            ("m_202512_120001.csv", (2025, 12, None, 12, 0, 1), None), ("c20251225143059x.csv", (2025, 12, 25, 14, 30, 59), None)]
     df = spark.createDataFrame([(r[0],) for r in rows], "n string")
     got = df.select("n", files.name_parts(F.col("n")).alias("p"), files.name_error(F.col("n")).alias("e"),
                     files.stem(F.col("n")).alias("s")).collect()

@@ -62,10 +62,14 @@ def name_parts(name: Column) -> Column:
     base = base_name(name)
     base = F.when(base.rlike(NAME_DATE), base).otherwise(F.regexp_replace(base, SPACED_DATE, "$1$2$3"))
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(base, NAME_DATE, group).try_cast("int")
-
-    return F.struct(*[part(i).alias(n) for i, n in enumerate(("yyyy", "mm", "dd", "hh", "mi", "ss"), start=1)])
+    # One search per name; the pieces have fixed places in what it finds.
+    found = F.regexp_extract(base, NAME_DATE, 0)
+    date = F.substring_index(found, "_", 1)
+    time = F.when(found.contains("_"), F.substring_index(found, "_", -1)).otherwise(F.substring(date, 9, 6))
+    places = {"yyyy": (date, 1, 4), "mm": (date, 5, 2), "dd": (date, 7, 2),
+              "hh": (time, 1, 2), "mi": (time, 3, 2), "ss": (time, 5, 2)}
+    pieces = {name: F.substring(text, start, size) for name, (text, start, size) in places.items()}
+    return F.struct(*[F.when(piece != "", piece.cast("int")).alias(name) for name, piece in pieces.items()])
 
 
 def name_date(name: Column) -> Column:
