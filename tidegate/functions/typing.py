@@ -23,7 +23,7 @@ DEFAULT_PRECISION, DEFAULT_SCALE = 38, 18
 # Text Spark reads as a number or a boolean. Surrounding control characters are allowed.
 BLANK = r"[\x00-\x20\x7f]*"
 INTEGER_TEXT = rf"^{BLANK}[+-]?[0-9]+{BLANK}$"
-NUMBER_TEXT = rf"(?iU)^{BLANK}[+-]?(\.?\d[\da-fpx.+-]*|inf(inity)?|nan){BLANK}$"
+NUMBER_TEXT = rf"^{BLANK}[+-]?(\.?\p{{Nd}}[\p{{Nd}}a-fA-FpPxX.+-]*|(?i:inf(inity)?|nan)){BLANK}$"
 BOOLEAN_TEXT = ("t", "true", "y", "yes", "1", "f", "false", "n", "no", "0")
 
 

@@ -32,7 +32,7 @@ from tidegate.sinks.tables import (PARTITIONS, CurrentTable, balanced, is_absent
                                    write_partitioned)
 from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, read_files
 from tidegate.sources.discovery import empty_files, list_files
-from tidegate.sources.lines import LINE, split_offsets, with_line_id
+from tidegate.sources.lines import LINE, count_splits, split_offsets, with_line_id
 
 INVALID_ROW = "INVALID_ROW"
 
@@ -162,7 +162,8 @@ class _Load:
         self.keys, self.compare = merge_keys(rules), compare_column(rules)
         self.typed = staged(cleanse(raw, rules, trim=rule.trim), "typed")
         # One row per split and one per file: small beside the lines, but measured before they are broadcast.
-        offsets = sized(staged(split_offsets(self.typed, per_file=True), "offsets"))
+        self.splits = staged(self._splits(), "splits")
+        offsets = sized(staged(split_offsets(self.splits), "offsets"))
         self.lines = with_line_id(self.typed, offsets=offsets).drop(BLOCK, ROW)
         self.verdicts = sized(staged(self._verdicts(), "verdicts"))
         self.accepted = self.verdicts.filter(F.col("_reason").isNull())
@@ -170,11 +171,15 @@ class _Load:
         self.required = [r.column_name for r in required(rules)]
         self.profile = staged(self._profile(), "profile")
 
+    def _splits(self) -> DataFrame:
+        """Everything counted over all lines, in one pass; line offsets and verdicts both come from it."""
+        return count_splits(self.typed, F.count_if(F.col(CORRUPT).isNotNull()).alias("_corrupt"),
+                            F.sum(row_bytes(self.typed, self.data)).alias("_bytes"), *action_counts(self.rules))
+
     def _verdicts(self) -> DataFrame:
         """One row per file: counts, size, and why it is refused (if it is)."""
-        counts = self.typed.groupBy(FILE).agg(
-            F.count(F.lit(1)).alias("_rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("_corrupt"),
-            F.sum(row_bytes(self.typed, self.data)).alias("_bytes"), *action_counts(self.rules))
+        sums = ["_corrupt", "_bytes", *[f"_null{i}" for i in range(len(required(self.rules)))]]
+        counts = self.splits.groupBy(FILE).agg(F.sum("_lines").alias("_rows"), *[F.sum(c).alias(c) for c in sums])
         share = tolerance_column(F.lit(self.rule.reject_tolerance), F.col("_rows"))
         allowed = share * F.col("_rows")
         stop = aborted(self.rules, F.col("_rows"))

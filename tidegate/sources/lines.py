@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.session import tune
@@ -11,12 +11,16 @@ from tidegate.sources.delimited import BLOCK, FILE, ROW
 LINE = "line_id"
 
 
-def split_offsets(df: DataFrame, per_file: bool) -> DataFrame:
-    """One row per file split: its first row position and the number of lines before it.
+def count_splits(df: DataFrame, *more: Column) -> DataFrame:
+    """One row per file split: its first row position and number of lines, and any further aggregates."""
+    return df.groupBy(FILE, BLOCK).agg(F.min(ROW).alias("_first"), F.count(F.lit(1)).alias("_lines"), *more)
+
+
+def split_offsets(splits: DataFrame, per_file: bool = True) -> DataFrame:
+    """The number of lines before each split.
 
     The window runs over splits, not lines: a thousand terabytes of input are a few million rows here.
     """
-    splits = df.groupBy(FILE, BLOCK).agg(F.min(ROW).alias("_first"), F.count(F.lit(1)).alias("_lines"))
     order = Window.partitionBy(FILE).orderBy(BLOCK) if per_file else Window.orderBy(FILE, BLOCK)
     before = F.sum("_lines").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return splits.select(FILE, BLOCK, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
@@ -30,7 +34,7 @@ def with_line_id(df: DataFrame, per_file: bool = True, offsets: DataFrame | None
     A frame that is read several times passes its stored ``offsets``.
     """
     tune(df.sparkSession)
-    offsets = split_offsets(df, per_file) if offsets is None else offsets
+    offsets = split_offsets(count_splits(df), per_file) if offsets is None else offsets
     kept = [F.col(f"`{c}`") for c in df.columns if c != LINE]
     line = (F.col(ROW) - F.col("_first") + F.col("_before") + 1).alias(LINE)
     return df.join(offsets, [FILE, BLOCK]).select(*kept, line)
