@@ -53,10 +53,10 @@ def map_groups(df: DataFrame, key: str, run: Callable, schema) -> DataFrame:
     return df.groupBy(key).applyInArrow(run, schema)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

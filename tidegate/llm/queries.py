@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import pieces, quality
+from tidegate.llm import contamination, pieces, quality
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +27,10 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_decode(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
