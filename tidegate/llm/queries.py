@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import contamination, pieces, quality
+from tidegate.llm import contamination, pieces, quality, tokenfiles, unigram
 
 
 def tokenizer_path(name: str) -> str:
@@ -35,6 +35,14 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_decode(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.round_trip(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return unigram.token_counts(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
