@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import contamination, pieces, quality, tokenfiles, unigram
+from tidegate.llm import contamination, neardup, pieces, quality, tokenfiles, unigram
 
 
 def tokenizer_path(name: str) -> str:
@@ -31,6 +31,10 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_decode(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
