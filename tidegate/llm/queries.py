@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import contamination, neardup, pieces, quality, tokenfiles, unigram
+from tidegate.llm import contamination, neardup, pieces, quality, substrings, tokenfiles, unigram
 
 
 def tokenizer_path(name: str) -> str:
@@ -43,6 +43,10 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, folder, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return unigram.token_counts(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
