@@ -4,24 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegate.session import fresh_path
 
 
-def column_type(df: DataFrame, name: str) -> T.DataType:
-    return df.schema[name].dataType
+def texts(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns an operator reads, doc_id and text, and those it is to carry along; the rest stays behind, so that
+    other columns may have any name."""
+    carried = [F.col(f"`{c}`") for c in keep if c not in ("doc_id", "text")]
+    return df.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), *carried)
 
 
-def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns an operator reads, under fixed names; all other columns stay behind, whatever they are called."""
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def ddl(df: DataFrame, names: Sequence[str]) -> str:
+    """Schema text of some columns of a frame."""
+    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
 
 _shipped: set[str] = set()

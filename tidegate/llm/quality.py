@@ -15,6 +15,7 @@ its smallest text; without any labels every score is 0.5.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 from operator import eq
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.frames import arrow_batch, map_arrow, texts
+from tidegate.llm.frames import arrow_batch, ddl, map_arrow, texts
 from tidegate.llm.words import BASE, Memo, mix, powers
 
 # Bound of the training sample: so many documents of each class, chosen by a hash of their id.
@@ -168,10 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
                  (counts.get(0, 0), counts.get(1, 0)), settings)
 
 
-def score(docs: DataFrame, model: Model, id_type: str = "bigint") -> DataFrame:
-    """doc_id and score (probability of class 1) of every document, over its whole text."""
+def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns to keep and the score (probability of class 1) of every document, over its whole text."""
     s = model.settings
     shared = docs.sparkSession.sparkContext.broadcast(model.folded())
+    read = texts(docs, keep)
 
     def run(batches):
         table, start = shared.value
@@ -192,14 +194,14 @@ def score(docs: DataFrame, model: Model, id_type: str = "bigint") -> DataFrame:
                 for value, n in zip(mark_values, marks(text or "", words)):
                     total += n * (value + 1j)
                 out[i] = start + (total.real / total.imag if words else 0.0)
-            yield arrow_batch(doc_id=batch.column("doc_id"), score=1 / (1 + np.exp(-out)))
+            columns = [batch.column(c) for c in keep]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(0.5 * (1 + np.tanh(out / 2)))], names=[*keep, "score"])
 
-    return map_arrow(texts(docs), run, f"doc_id {id_type}, score double")
+    return map_arrow(read, run, f"{ddl(read, keep)}, score double")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Learn `quality` from the documents that are not held out, score all: doc_id, held_out, score, predicted."""
+def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Learn `quality` from the documents that are not held out, score all: the columns to keep, held_out, score, predicted."""
     model = fit(docs, labels, settings=settings, train_on=~is_held_out(F.col("doc_id")))
-    scored = score(docs, model, docs.schema["doc_id"].dataType.simpleString())
-    return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
-                         F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))
+    return score(docs, model, keep).select(*keep, is_held_out(F.col("doc_id")).alias("held_out"), "score",
+                                           F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"))

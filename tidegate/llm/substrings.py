@@ -23,13 +23,14 @@ one document, or in rows of the same id, are not removed; rows without id keep e
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.frames import arrow_batch, map_arrow, map_groups, stored, texts
+from tidegate.llm.frames import arrow_batch, ddl, map_arrow, map_groups, stored, texts
 from tidegate.llm.words import BASE, NOT_BLANK, mix, pieces, shingles, words_of
 
 WINDOW, GRAM, DEPTH = 50, 8, 64
@@ -267,18 +268,20 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return near.unionByName(far)
 
 
-def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every document; with_text adds kept (the words that stay, joined by one
-    blank) and row (fingerprint of the text)."""
-    docs = texts(docs).withColumn("row", F.xxhash64("text"))
-    ranges = repeated_windows(docs).groupBy("doc_id", "row").agg(F.collect_list(F.struct("low", "high")).alias("found"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    joined = docs.join(ranges, ["doc_id", "row"], "left").select("doc_id", "row", "text", "found")
+def deduplicated(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every document; with columns to keep also those, and kept (the words that
+    stay, joined by one blank)."""
+    read = texts(docs, keep).withColumn("row", F.xxhash64("text"))
+    ranges = repeated_windows(read.select("doc_id", "text", "row")).groupBy("doc_id", "row").agg(
+        F.collect_list(F.struct("low", "high")).alias("found"))
+    carried = [c for c in keep if c not in ("doc_id", "text")]
+    shown = ["doc_id", *(["text", *carried] if keep else [])]
+    joined = read.join(ranges, ["doc_id", "row"], "left").select("doc_id", "text", "found", *carried)
 
     def run(batches):
         for batch in batches:
             count, removed, digest, kept = [], [], [], []
-            for text, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = (text or "").encode("utf-8").split()
                 count.append(len(words))
                 if found:
@@ -289,11 +292,11 @@ def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 removed.append(count[-1] - len(words))
                 rest = b" ".join(words)
                 digest.append(hashlib.sha256(rest).hexdigest())
-                if with_text:
+                if keep:
                     kept.append(rest.decode("utf-8"))
-            more = {"kept": pa.array(kept, pa.string()), "row": batch.column(1)} if with_text else {}
-            yield arrow_batch(doc_id=batch.column(0), n_words=pa.array(count, pa.int64()), n_removed=pa.array(removed, pa.int64()),
-                              kept_sha256=pa.array(digest, pa.string()), **more)
+            out = {n: batch.column(n) for n in shown} | {"n_words": pa.array(count, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+                                                        "kept_sha256": pa.array(digest, pa.string())}
+            yield arrow_batch(**out, **({"kept": pa.array(kept, pa.string())} if keep else {}))
 
-    schema = f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string" + (", kept string, row long" if with_text else "")
+    schema = f"{ddl(read, shown)}, n_words long, n_removed long, kept_sha256 string" + (", kept string" if keep else "")
     return map_arrow(joined, run, schema)
