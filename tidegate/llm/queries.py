@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm import contamination, neardup, pieces, quality, substrings, tokenfiles, unigram
+from tidegate.llm import contamination, neardup, pieces, quality, substrings, tokenfiles, unigram, vectors, warc
+from tidegate.session import fresh_path
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,10 +29,29 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+# Pages whose record decays in the second replica of op2.
+DECAY = "page_id % 37 = 5"
+
+
+def op2_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Two replicas of the pages as WARC files, some records of the second damaged; one row per record: is it corrupt?"""
+    folders = [fresh_path(spark, "replica") for _ in range(2)]
+    index = warc.write_collection(table(spark, folder, "pages"), folders, F.expr(DECAY))
+    found = warc.audit(index, *folders).select("file", "nth", F.lit(True).alias("found"))
+    return index.join(found, ["file", "nth"], "left").select("page_id", F.coalesce("found", F.lit(False)).alias("corrupt"))
+
+
+OP2_SQL = f"SELECT page_id, coalesce({DECAY}, false) AS corrupt FROM pages"
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_embedding_pq(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
@@ -56,4 +77,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc_fixity": OP2_SQL}
