@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import contamination, neardup, pieces, quality, substrings, tokenfiles, unigram, vectors, warc
+from tidegate.llm import contamination, lm, neardup, pieces, quality, substrings, tokenfiles, unigram, vectors, warc
 from tidegate.session import fresh_path
 
 
@@ -56,6 +56,10 @@ def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scores(table(spark, folder, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_decode(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
