@@ -13,8 +13,8 @@ WINDOW words first drops its last word (the interval of one word less is looked
 WINDOW and every window costs one step. Each interval carries the smallest document that has it.
 
 Hot anchors. An anchor with more than HOT occurrences is spread over several shards. Each of these reports the windows
-it saw first, one row per distinct window and shard, under a fingerprint; their overall first document comes from an
-aggregation by fingerprint, combined before its shuffle.
+it saw first under a fingerprint (those of one document for each distinct window); their overall first document comes
+from an aggregation by fingerprint, combined before its shuffle.
 
 Defined cases: a null or wordless text has no words; shorter texts than a window keep everything; windows repeated within
 one document, or in rows of the same id, are not removed; rows without id keep everything.
@@ -151,7 +151,7 @@ def window_firsts(segments: list[np.ndarray], size: int, docs: np.ndarray, windo
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """anchor, doc_id, row (fingerprint of the text), low, high (first and last window) of all anchors."""
+    """anchor, doc_id, __row (fingerprint of the text), low, high (first and last window) of all anchors."""
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, limit=1 << 20):
@@ -163,14 +163,14 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 if parts:
                     anchor, low, high, row = (np.concatenate(x) for x in zip(*parts))
                     yield arrow_batch(anchor=anchor.view(np.int64), doc_id=piece.column(0).take(pa.array(row)),
-                                      row=piece.column(2).take(pa.array(row)), low=low.astype(np.int32), high=high.astype(np.int32))
+                                      __row=piece.column(2).take(pa.array(row)), low=low.astype(np.int32), high=high.astype(np.int32))
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(docs, run, f"anchor long, doc_id {id_type}, row long, low int, high int")
+    return map_arrow(docs, run, f"anchor long, doc_id {id_type}, __row long, low int, high int")
 
 
 def cut_segments(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """Words around the shared anchors: shard, hot, doc_id, row, start, words."""
+    """Words around the shared anchors: shard, hot, doc_id, __row, start, words."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -186,11 +186,11 @@ def cut_segments(docs: DataFrame, places: DataFrame) -> DataFrame:
                     start.append(place["low"])
                     words.append(b" ".join(split[place["low"]:place["high"] + WINDOW]))
             at = pa.array(source, pa.int64())
-            yield arrow_batch(shard=pa.array(shard, pa.int32()), hot=pa.array(hot, pa.bool_()), doc_id=ids.take(at), row=rows.take(at),
+            yield arrow_batch(shard=pa.array(shard, pa.int32()), hot=pa.array(hot, pa.bool_()), doc_id=ids.take(at), __row=rows.take(at),
                               start=pa.array(start, pa.int32()), words=pa.array(words, pa.binary()))
 
-    joined = docs.join(places, ["doc_id", "row"]).select("doc_id", "row", "text", "found")
-    return map_arrow(joined, run, f"shard int, hot boolean, doc_id {id_type}, row long, start int, words binary")
+    joined = docs.join(places, ["doc_id", "__row"]).select("doc_id", "__row", "text", "found")
+    return map_arrow(joined, run, f"shard int, hot boolean, doc_id {id_type}, __row long, start int, words binary")
 
 
 def search_shards(segments: DataFrame) -> DataFrame:
@@ -205,11 +205,11 @@ def search_shards(segments: DataFrame) -> DataFrame:
         numbers: dict[bytes, int] = {}
         lists = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in words.split()], dtype=np.int64)
                  for words in table.column("words").to_pylist()]
-        segment, at, interval, least = window_firsts(lists, len(numbers) + 1, ranked)
+        segment, at, _, least = window_firsts(lists, len(numbers) + 1, ranked)
         start = table.column("start").to_numpy().astype(np.int64)
         hot = table.column("hot").to_numpy(zero_copy_only=False)
         order = np.lexsort((at, segment))
-        segment, at, interval, least = segment[order], at[order], interval[order], least[order]
+        segment, at, least = segment[order], at[order], least[order]
         again = least < ranked[segment]
         # Runs of neighbouring windows of a segment.
         edge = np.ones(len(segment), bool)
@@ -218,9 +218,8 @@ def search_shards(segments: DataFrame) -> DataFrame:
         run_end = np.append(run_start[1:], len(segment)) - 1
         chosen = again[run_start]
         lows, highs, owners = at[run_start][chosen], at[run_end][chosen], segment[run_start][chosen]
-        # First sights of hot windows, one for each interval.
+        # First sights of hot windows; a document that repeats one has several.
         fresh = np.flatnonzero(hot[segment] & ~again)
-        fresh = fresh[np.unique(interval[fresh], return_index=True)[1]]
         prints = np.zeros((2, len(fresh)), np.uint64)
         if len(fresh):
             words = words_of(pa.array([b" ".join(numbers).decode("utf-8", "surrogateescape")], pa.large_string()), NOT_BLANK, False)
@@ -235,19 +234,19 @@ def search_shards(segments: DataFrame) -> DataFrame:
         high = np.concatenate([highs, at[fresh]]) + start[owner]
         seen = np.concatenate([np.zeros(len(owners), bool), np.ones(len(fresh), bool)])
         pad = np.zeros(len(owners), np.int64)
-        out = {"doc_id": ids.take(pa.array(owner)), "row": table.column("row").combine_chunks().take(pa.array(owner)),
+        out = {"doc_id": ids.take(pa.array(owner)), "__row": table.column("__row").combine_chunks().take(pa.array(owner)),
                "low": pa.array(low.astype(np.int32)), "high": pa.array(high.astype(np.int32)),
                "print_1": pa.array(np.concatenate([pad, prints[0].view(np.int64)]), mask=~seen),
                "print_2": pa.array(np.concatenate([pad, prints[1].view(np.int64)]), mask=~seen)}
         return pa.table(out)
 
-    return map_groups(segments, "shard", run, f"doc_id {id_type}, row long, low int, high int, print_1 long, print_2 long")
+    return map_groups(segments, "shard", run, f"doc_id {id_type}, __row long, low int, high int, print_1 long, print_2 long")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, low, high): ranges of windows that also start in a document with a smaller id.
+    """(doc_id, __row, low, high): ranges of windows that also start in a document with a smaller id.
 
-    docs: doc_id, text, row.
+    docs: doc_id, text, __row (fingerprint of the text).
     """
     anchors = stored(anchor_rows(docs.where("doc_id IS NOT NULL")), "anchors")
     shared = stored(anchors.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"),
@@ -256,27 +255,27 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     total = shared.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
     parts = F.ceil(F.col("n") / HOT).cast("int")
-    part = F.pmod(F.xxhash64("doc_id", "row"), parts)
+    part = F.pmod(F.xxhash64("doc_id", "__row"), parts)
     places = (anchors.join(shared.select("anchor", "n"), "anchor")
-              .groupBy("doc_id", "row").agg(F.collect_list(F.struct(
+              .groupBy("doc_id", "__row").agg(F.collect_list(F.struct(
                   "low", "high", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).cast("int").alias("shard"), (parts > 1).alias("hot"))).alias("found")))
     searched = stored(search_shards(cut_segments(docs, places)), "repeats")
-    near = searched.where("print_1 IS NULL").select("doc_id", "row", "low", "high")
+    near = searched.where("print_1 IS NULL").select("doc_id", "__row", "low", "high")
     first = searched.where("print_1 IS NOT NULL")
     least = first.groupBy("print_1", "print_2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least != most")
-    far = first.join(least, ["print_1", "print_2"]).where("doc_id > least").select("doc_id", "row", "low", "high")
+    far = first.join(least, ["print_1", "print_2"]).where("doc_id > least").select("doc_id", "__row", "low", "high")
     return near.unionByName(far)
 
 
 def deduplicated(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document; with columns to keep also those, and kept (the words that
     stay, joined by one blank)."""
-    read = texts(docs, keep).withColumn("row", F.xxhash64("text"))
-    ranges = repeated_windows(read.select("doc_id", "text", "row")).groupBy("doc_id", "row").agg(
+    read = texts(docs, keep).withColumn("__row", F.xxhash64("text"))
+    ranges = repeated_windows(read.select("doc_id", "text", "__row")).groupBy("doc_id", "__row").agg(
         F.collect_list(F.struct("low", "high")).alias("found"))
     carried = [c for c in keep if c not in ("doc_id", "text")]
     shown = ["doc_id", *(["text", *carried] if keep else [])]
-    joined = read.join(ranges, ["doc_id", "row"], "left").select("doc_id", "text", "found", *carried)
+    joined = read.join(ranges, ["doc_id", "__row"], "left").select("doc_id", "text", "found", *carried)
 
     def run(batches):
         for batch in batches:

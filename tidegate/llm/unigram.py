@@ -47,7 +47,7 @@ class Counter:
             raise ValueError("the vocabulary lacks byte pieces")
         # Unknown neighbours are looked up together by the library; that never finds a piece if this holds.
         self.single = {p for p in known if len(p) == 1}
-        if any(len(p) > 1 and not self.single.issuperset(p) and not self.single.intersection(p) for p in known):
+        if any(len(p) > 1 and not self.single.intersection(p) for p in known if not re.fullmatch("<0x..>", p)):
             raise ValueError("a piece consists of unknown characters")
         if any(re.search(f"[^{BLANK}]{BLANK}|\n.|.\n", p, re.S) for p in known):
             raise ValueError("pieces cross word borders")
