@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from suite import checks, functions, loads, modes, reports, sources, tables
+from suite import checks, deliveries, functions, loads, modes, reports, sources, tables
 
-MODULES = (loads, sources, functions, checks, modes, tables, reports)
+MODULES = (loads, deliveries, sources, functions, checks, modes, tables, reports)
 
 
 def queries() -> dict:

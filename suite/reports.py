@@ -126,14 +126,14 @@ def recent_errors(spark, folder):
     FROM ({RUNS}) ORDER BY log_ts DESC, table_name, filename LIMIT 20""")
 def latest_runs_view(spark, folder):
     reports.log_views(runs(spark, folder), faults(spark, folder))
-    return reports.latest_runs_sql(spark)
+    return reports.latest_runs(spark)
 
 
 @query(f"""SELECT table_name, filename, column_name, error_message, error_count, zone, env, log_ts FROM ({FAULTS})
     WHERE error_message IS NOT NULL""")
 def described_errors_view(spark, folder):
     reports.log_views(runs(spark, folder), faults(spark, folder))
-    return reports.described_errors_sql(spark)
+    return reports.described_errors(spark)
 
 
 @query(f"""SELECT status, env, count(*) AS count FROM ({RUNS}) GROUP BY 1, 2""")

@@ -58,7 +58,8 @@ def test_first_file_only_without_merging(spark, put, layout):
     put("site_20251202.csv", "id,name,date\n2,b,20250101\n")
     put("site_20251201.csv", "id,name,date\n1,a,20250101\n")
     log = run(spark, [site("FULL_SNAPSHOT", merge_files=False)], COLUMNS, layout)
-    assert list(statuses(log)) == [("site", "site_20251201.csv")]
+    got = statuses(log)
+    assert got[("site", "site_20251201.csv")][0] == "SUCCESS" and got[("site", "site_20251202.csv")][0] == "SKIPPED" and len(got) == 2
     state = CurrentTable(spark, layout.table(site(), "last")).read()
     assert values(state, "id") == [1] and "FILE_PROCESS_DATE" not in state.columns
 
@@ -76,7 +77,7 @@ def test_snapshot_append_and_key_replace(spark, put, layout):
         log = run(spark, [rule], COLUMNS, layout)
         got = sorted(values(CurrentTable(spark, layout.table(rule, "last")).read(), "id"))
         assert got == ids, mode
-    assert "WARN" in {s for s, *_ in statuses(log).values()}
+    assert log.filter("status = 'WARN'").count() == 1
 
 
 def test_failures_are_logged(spark, put, layout):
@@ -140,3 +141,72 @@ def test_fixed_width_load(spark, put, layout):
     run(spark, [rule], columns, layout)
     assert sorted(values(CurrentTable(spark, layout.table(rule, "last")).read(), "id", "name", "day")) == [
         (1, "alice", dt.date(2025, 1, 1)), (2, "bob", dt.date(2025, 1, 2))]
+
+
+def test_headers_are_judged_file_by_file(spark, put, layout):
+    put("site_20251201.csv", "id,name,date\n1,a,20250101\n")
+    put("site_20251202.csv", "date;id\n")
+    put("site_20251203.csv", "date,name,id\n20250103,c,3\n")
+    put("site_20251204.csv", "id,name\n4,d\n")
+    log = statuses(run(spark, [site("APPEND")], COLUMNS, layout))
+    assert {f: s for (_, f), (s, *_) in log.items()} == {"site_20251201.csv": "SUCCESS", "site_20251202.csv": "FAILED",
+                                                         "site_20251203.csv": "SUCCESS", "site_20251204.csv": "FAILED"}
+    state = CurrentTable(spark, layout.table(site(), "last")).read()
+    assert sorted(values(state, "id", "name", "date")) == [(1, "A", dt.date(2025, 1, 1)), (3, "C", dt.date(2025, 1, 3))]
+    lost = read_table(spark, layout.quality_log).filter("error_type = 'MISSING_COLUMN'")
+    assert ("site_20251204.csv", "date") in values(lost, "filename", "column_name")
+    wide = TableRule("wide", filename_pattern="site_<yyyy><mm><dd>.csv", header="HEADER USE", ingestion_mode="APPEND", merge_files=True)
+    log = statuses(run(spark, [wide], [ColumnRule(c, "wide") for c in ("a", "b", "c")], layout))
+    assert sorted(s for s, *_ in log.values()) == ["FAILED", "FAILED", "SUCCESS", "SUCCESS"]
+
+
+@pytest.mark.parametrize("mode", ["FULL_SNAPSHOT", "MERGE"])
+def test_a_refused_delivery_changes_nothing(spark, put, layout, mode):
+    path = put("site_20251201.csv", "1,a,20250101\n2,b,20250101\n")
+    rule = site(mode, header=None)
+    run(spark, [rule], COLUMNS, layout)
+    current = CurrentTable(spark, layout.table(rule, "last"))
+    before = current.latest()
+    with open(path, "w") as f:
+        f.write("1\n2\n")
+    assert statuses(run(spark, [rule], COLUMNS, layout))[("site", "site_20251201.csv")][0] == "FAILED"
+    assert current.latest() == before and sorted(values(current.read(), "id")) == [1, 2]
+
+
+def test_an_empty_state_is_an_empty_table(spark, put, layout):
+    put("site_20251201.csv", "id,name,date\n,a,20250101\n")
+    columns = [ColumnRule("id", "site", "INTEGER", is_nullable=False, error_action="REJECT"), *COLUMNS[1:]]
+    run(spark, [site("FULL_SNAPSHOT")], columns, layout)
+    state = CurrentTable(spark, layout.table(site(), "last")).read()
+    assert state.count() == 0 and {"id", "name", "date", "yyyy"} <= set(state.columns)
+
+
+def test_one_bad_table_does_not_stop_the_others(spark, put, layout):
+    put("site_20251201.csv", "id,name,date\n1,a,20250101\n")
+    bad = [ColumnRule("id", "badly", transformation_type="regex_replace", transform_pattern="(")] if "transform_pattern" in ColumnRule.__dataclass_fields__ else []
+    tables = [TableRule("nokeys", filename_pattern="site_<yyyy><mm><dd>.csv", header="FIRST LINE", ingestion_mode="MERGE"), site("MERGE")]
+    log = statuses(run(spark, tables, COLUMNS + [ColumnRule("id", "nokeys")] + bad, layout))
+    assert log[("nokeys", "N/A")][:2] == ("FAILED", "MERGE needs merge keys") and log[("site", "site_20251201.csv")][0] == "SUCCESS"
+    assert read_table(spark, layout.table(tables[0], "all")) is None
+    assert read_table(spark, layout.execution_log).count() == 2
+
+
+def test_file_names_are_decoded_and_bad_ones_logged(spark, put, layout):
+    put("my site+x_20251201.csv", "id,name,date\n1,a,20250101\n,b,20250101\n")
+    put("my site+x_20251399.csv", "id,name,date\n1,a,20250101\n")
+    rule = site("APPEND", filename_pattern="my site+x_<yyyy><mm><dd>.csv")
+    log = statuses(run(spark, [rule], COLUMNS, layout))
+    assert {f for _, f in log} == {"my site+x_20251201.csv", "my site+x_20251399.csv"}
+    assert values(CurrentTable(spark, layout.table(rule, "last")).read(), "FILE_NAME_RECEIVED")[0] == "my site+x_20251201"
+    errors = read_table(spark, layout.quality_log)
+    assert errors.filter("uri IS NULL").count() == 0 and values(errors.filter("error_type = 'FILE_REJECTED'"), "raw_value") == ["my site+x_20251399.csv"]
+
+
+def test_no_line_is_shuffled_by_file(spark, put, layout):
+    from tidegate.operators.actions import apply_actions
+    from tidegate.operators.cleanse import cleanse
+
+    df = spark.createDataFrame([("f1", "1"), ("f2", None)], "_file string, id string")
+    kept = apply_actions(cleanse(df, [ColumnRule("id", is_nullable=False)]), [ColumnRule("id", is_nullable=False)], by="_file")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

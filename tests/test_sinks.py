@@ -108,7 +108,7 @@ def test_reports(spark):
     quality = log.select("table_name", "filename", F.lit("c").alias("column_name"), F.lit(None).cast("string").alias("error_message"),
                          "error_count", F.lit("z").alias("zone"), "env", "log_ts")
     reports.log_views(log, quality)
-    assert reports.latest_runs_sql(spark).count() == 20 and reports.described_errors_sql(spark).count() == 0
+    assert reports.latest_runs(spark).count() == 20 and reports.described_errors(spark).count() == 0
     assert reports.preview(log).count() == 10
 
 

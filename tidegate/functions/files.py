@@ -48,6 +48,11 @@ def has_date(pattern: str) -> bool:
     return any(hit.group(2).lower() == "yyyy" for hit in PLACEHOLDER.finditer(pattern))
 
 
+def decoded(uri: Column) -> Column:
+    """File path as the listing shows it: a scan reports it percent-encoded, with plus signs as they are."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.settings import tolerance_column
 from tidegate.operators.shape import column
 from tidegate.rules import ColumnRule
+from tidegate.session import sized, staged
 
 # Fixed value: share of flagged columns a row may miss.
 ROW_SHARE = 0.1
@@ -101,7 +102,9 @@ def apply_actions(df: DataFrame, rules: Sequence[ColumnRule], by: str | None = N
     counts = groups.agg(F.count(F.lit(1)).alias("_rows"), *action_counts(rules))
     limit, stop = row_limit(flagged_columns(rules), min_allowed), aborted(rules, F.col("_rows"))
     if by:
-        rows = df.join(counts.select(by, limit.alias("_limit"), stop.alias("_abort")), by)
+        # One row per file: stored and measured, so that the lines stay where they are unless it is large.
+        limits = sized(staged(counts.select(by, limit.alias("_limit"), stop.alias("_abort")), "limits"))
+        rows = df.join(limits, by)
         allowed, going = F.col("_limit"), F.col("_abort").isNull()
     else:
         rows, allowed = df, counts.select(limit).scalar()

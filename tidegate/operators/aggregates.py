@@ -27,14 +27,13 @@ def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[Column], bu
     ``bucket`` must not decrease along the order (a day for a timestamp, say). Rows are numbered within
     (group, bucket), and the counts of earlier buckets are added, so a group is spread over many tasks.
     """
-    cut = df.withColumn("_bucket", bucket)
-    cells = [*group, "_bucket"]
-    sizes = cut.groupBy(*cells).agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # Group columns may be null, so the offsets join by null-safe equality.
-    offsets = sizes.select(*[column(c).alias(f"_g{i}") for i, c in enumerate(cells)],
-                           F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    local = cut.withColumn("_local", F.row_number().over(Window.partitionBy(*cells).orderBy(*order)))
-    on = [column(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(cells)]
+    # Group columns may be null. Structs of them are not, and compare nulls as equal, so one key serves the window
+    # and the join and the rows are shuffled once.
+    whole = F.struct(F.lit(0).alias("_"), *[column(c).alias(f"g{i}") for i, c in enumerate(group)])
+    cut = df.withColumn("_cell", F.struct(whole.alias("group"), bucket.alias("bucket")))
+    sizes = cut.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("_cell.group").orderBy("_cell.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_cell", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    local = cut.withColumn("_local", F.row_number().over(Window.partitionBy("_cell").orderBy(*order)))
     numbered = (F.col("_local") + F.col("_before")).cast("long").alias(name)
-    return local.join(offsets, on).select([column(c) for c in df.columns] + [numbered])
+    return local.join(offsets, "_cell").select([column(c) for c in df.columns] + [numbered])

@@ -120,7 +120,12 @@ def key_replace(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     if target is None:
         return batch
     incoming = batch.filter(no_null(keys)).select([column(k) for k in keys]).distinct()
-    return append(target.join(broadcast_if_small(incoming, key_bytes), list(keys), "left_anti"), batch)
+    small = key_bytes is not None and key_bytes <= BROADCAST_LIMIT
+    # Null keys match nothing. In a shuffled join they would all go to one task, so they take their own way.
+    base = target if small else target.filter(no_null(keys))
+    kept = base.join(broadcast_if_small(incoming, key_bytes), list(keys), "left_anti")
+    kept = kept if small else kept.unionByName(target.filter(~no_null(keys)))
+    return append(kept.select([column(c) for c in target.columns]), batch)
 
 
 def append(target: DataFrame | None, batch: DataFrame) -> DataFrame:

@@ -16,21 +16,21 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.files import INVALID_NAME_DATE, base_name, has_date, name_error, name_glob, name_parts, stem
-from tidegate.functions.settings import delimiter, tolerance_column
+from tidegate.functions.files import INVALID_NAME_DATE, base_name, decoded, has_date, name_error, name_glob, name_parts, stem
+from tidegate.functions.settings import delimiter, header_mode, tolerance_column
 from tidegate.operators.actions import (aborted, action_counts, action_summary, flagged_columns, invalid_columns,
                                         rejected, required, row_limit)
 from tidegate.operators.cleanse import ERRORS, NULL_VALUE, cleanse, entry, error_lines, no_errors
-from tidegate.operators.modes import PROCESS_DATE, append, apply_mode, mode_action
+from tidegate.operators.modes import NEEDS_KEYS, PROCESS_DATE, append, apply_mode, mode_action
 from tidegate.operators.quality import check_profile, column_profile, duplicate_keys
 from tidegate.operators.shape import column, fill_columns, missing_column_errors, missing_columns
-from tidegate.rules import FORMATS, ColumnRule, TableRule, compare_column, for_table, merge_keys, ordered
-from tidegate.session import BROADCAST_LIMIT, row_bytes, sized, staged
+from tidegate.rules import CSV_FORMATS, FORMATS, ColumnRule, TableRule, compare_column, for_table, merge_keys, ordered
+from tidegate.session import BROADCAST_LIMIT, broadcast_if_small, measured_bytes, row_bytes, sized, staged
 from tidegate.sinks.catalog import register_table
 from tidegate.sinks.logs import append_log, execution_rows, quality_rows, run_row
 from tidegate.sinks.tables import (PARTITIONS, CurrentTable, balanced, is_absent, output_path, partition_types, read_table, stamp, without,
                                    write_partitioned)
-from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, read_files
+from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, file_heads, names_of_head, read_files
 from tidegate.sources.discovery import empty_files, list_files
 from tidegate.sources.lines import LINE, count_splits, split_offsets, with_line_id
 
@@ -65,10 +65,13 @@ class Layout:
 
 def run(spark: SparkSession, tables: Sequence[TableRule], columns: Sequence[ColumnRule], layout: Layout,
         at: datetime | None = None) -> DataFrame:
-    """Load every configured table; the execution rows of the run are appended to the log in one write."""
+    """Load every configured table; the execution rows of the run are appended to the log in one write.
+
+    A table that cannot be loaded has a FAILED row and does not keep the others from being loaded.
+    """
     at = at or datetime.now()
     runs = [load_table(spark, rule, for_table(columns, rule.table_name), layout, at) for rule in tables]
-    logged = staged(execution_rows(reduce(append, runs), layout.env, at).coalesce(1), "runs")
+    logged = staged(execution_rows(reduce(append, runs), layout.env, at), "runs")
     append_log(logged, layout.execution_log, 1, layout.fmt)
     return logged
 
@@ -78,9 +81,9 @@ def load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]
     """One table; returns its execution rows, one per file.
 
     ``source`` names a folder to read whole, in place of the files of the inbox that fit the name pattern.
+    Whatever goes wrong becomes a FAILED row; settings are checked before anything is read or written.
     """
     began = time.time()
-    rules = ordered(rules)
     common = {"table_name": rule.table_name, "input_format": rule.input_format,
               "ingestion_mode": rule.ingestion_mode, "output_zone": rule.zone}
 
@@ -88,33 +91,72 @@ def load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]
         return run_row(spark, **common, filename=filename, row_count=0, column_count=0, error_count=0,
                        error_message=message, status=status, duration=round(time.time() - began, 2))
 
+    try:
+        return _load_table(spark, rule, ordered(rules), layout, at, source, common, failure, began)
+    except Exception as error:  # noqa: BLE001  the next table is loaded whatever befell this one
+        return failure(f"{type(error).__name__}: {str(error).strip().splitlines()[0] if str(error).strip() else ''}"[:500])
+
+
+def setting_error(rule: TableRule, rules: Sequence[ColumnRule]) -> str | None:
+    """What is wrong with the settings of a table, if anything."""
     if rule.input_format not in FORMATS:
-        return failure(f"Unsupported format {rule.input_format}")
+        return f"Unsupported format {rule.input_format}"
     try:
         delimiter(rule.delimiter)
     except ValueError as error:
-        return failure(f"Delimiter error: {error}")
+        return f"Delimiter error: {error}"
+    if mode_action(rule.ingestion_mode)[0] in NEEDS_KEYS and not merge_keys(rules):
+        return f"{rule.ingestion_mode} needs merge keys"
+    return None
+
 
+def _load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule], layout: Layout, at: datetime,
+                source: str | None, common: dict, failure, began: float) -> DataFrame:
+    wrong = setting_error(rule, rules)
+    if wrong:
+        return failure(wrong)
     found = (source, None, base_of(source)) if source else _pick_files(spark, rule, layout.inbox)
     if isinstance(found, str):
         return failure(found)
     path, glob, name = found
-    try:
-        raw = read_files(spark, path, rule, rules, glob)
-    except ValueError as error:
-        return failure(str(error), name)
+
+    def line(filename: Column, message: Column, status: str) -> list[Column]:
+        """Columns of an execution row for a file that is not loaded."""
+        zeros = [F.lit(0).alias(c) for c in ("row_count", "column_count", "error_count")]
+        return [*[F.lit(v).alias(k) for k, v in common.items()], filename.alias("filename"), *zeros,
+                message.alias("error_message"), F.lit(status).alias("status"), F.lit(round(time.time() - began, 2)).alias("duration")]
 
     names = [r.column_name for r in rules]
-    lost = missing_columns(raw, names)
-    if lost and not rule.delete_columns_allowed:
-        rows = missing_column_errors(raw, names, rule.table_name, name)
-        append_log(quality_rows(rows, rule.table_name, rule.zone, layout.env, at), layout.quality_log, 1, layout.fmt)
-        return failure(f"Missing columns {lost} in the file", name)
+    if not source and not rule.merge_files:
+        others = list_files(spark, layout.inbox, name_glob(rule.filename_pattern)).filter(F.col("name") != name)
+        aside = others.select(*line(F.col("name"), F.lit(f"Not selected, {name} comes first"), "SKIPPED"))
+    else:
+        aside = None
+    if rule.input_format in CSV_FORMATS and header_mode(rule.header) != "none" and (glob or source):
+        raw, refused = _read_by_header(spark, rule, rules, path, glob)
+        refused_name = base_name(decoded(F.col(FILE)))
+        lost = refused.select(F.lit(rule.table_name).alias("table_name"), refused_name.alias("filename"), F.col(FILE).alias("uri"),
+                              F.explode("lost").alias("column_name"), F.lit("MISSING_COLUMN").alias("error_type"))
+        append_log(quality_rows(lost, rule.table_name, rule.zone, layout.env, at), layout.quality_log, 1, layout.fmt)
+        failed = refused.select(*line(refused_name, F.col("why"), "FAILED"))
+        aside = failed if aside is None else append(aside, failed)
+        if raw is None:
+            return aside
+    else:
+        try:
+            raw = read_files(spark, path, rule, rules, glob)
+        except ValueError as error:
+            return failure(str(error), name)
+        lost = missing_columns(raw, names)
+        if lost and not rule.delete_columns_allowed:
+            rows = missing_column_errors(raw, names, rule.table_name, name)
+            append_log(quality_rows(rows, rule.table_name, rule.zone, layout.env, at), layout.quality_log, 1, layout.fmt)
+            return failure(f"Missing columns {lost} in the file", name)
     raw = fill_columns(raw, names)
 
     load = _Load(spark, rule, rules, layout, at, raw)
     errors = load.quality_errors()
-    named = errors.join(load.verdicts.select(FILE, "filename"), FILE)
+    named = errors.join(load.verdicts.select(FILE, "filename"), FILE).withColumn("uri", F.col(FILE))
     append_log(quality_rows(named, rule.table_name, rule.zone, layout.env, at), layout.quality_log, fmt=layout.fmt)
     load.write_quarantine()
     load.write_tables()
@@ -129,7 +171,39 @@ def load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]
         F.lit(round(time.time() - began, 2)).alias("duration"))
     if not mode_action(rule.ingestion_mode)[1]:
         runs = append(runs, failure(f"Unknown ingestion mode {rule.ingestion_mode!r}, appended", name, "WARN"))
-    return runs
+    return runs if aside is None else append(runs, aside)
+
+
+def _read_by_header(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule], path: str,
+                    glob: str | None) -> tuple[DataFrame | None, DataFrame]:
+    """The files whose header fits, and (_file, why, lost) of the others.
+
+    First lines are found by a scan. Only the distinct ones, a handful, come to the driver; each is judged once, and
+    each that fits is read under its own names.
+    """
+    names = [r.column_name for r in rules]
+    heads = staged(file_heads(spark, path, rule, glob), "heads")
+    fitting, bad, whole = [], [], F.lit(False)
+    for head in [r["head"] for r in heads.select("head").distinct().collect()]:
+        found = names_of_head(spark, rule, head)
+        lost = [] if header_mode(rule.header) == "skip" else [c for c in names if c.lower() not in {f.lower() for f in found}]
+        if header_mode(rule.header) == "skip" and len(found) != len(names):
+            bad.append((head, f"{rule.table_name}: {len(names)} columns configured, {len(found)} in the file", []))
+        elif lost and not rule.delete_columns_allowed:
+            bad.append((head, f"Missing columns {lost} in the file", lost))
+        else:
+            fitting.append((head, found))
+    refused = heads.join(F.broadcast(spark.createDataFrame(bad, "head string, why string, lost array<string>")), "head").select(FILE, "why", "lost")
+    by_names: dict[tuple, list[str]] = {}
+    for head, found in fitting:
+        by_names.setdefault(tuple(found) if header_mode(rule.header) == "names" else (), []).append(head)
+    raw = None
+    for found, lines in by_names.items():
+        part = read_files(spark, path, rule, rules, glob, found)
+        if bad or len(by_names) > 1:
+            part = part.join(sized(heads.filter(F.col("head").isin(lines)).select(FILE)), FILE, "left_semi")
+        raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
+    return raw, refused
 
 
 def base_of(path: str) -> str:
@@ -165,7 +239,9 @@ class _Load:
         self.splits = staged(self._splits(), "splits")
         offsets = sized(staged(split_offsets(self.splits), "offsets"))
         self.lines = with_line_id(self.typed, offsets=offsets).drop(BLOCK, ROW)
-        self.verdicts = sized(staged(self._verdicts(), "verdicts"))
+        verdicts = staged(self._verdicts(), "verdicts")
+        self.file_bytes = measured_bytes(verdicts)
+        self.verdicts = broadcast_if_small(verdicts, self.file_bytes)
         self.accepted = self.verdicts.filter(F.col("_reason").isNull())
         self.rows = self._surviving()
         self.required = [r.column_name for r in required(rules)]
@@ -183,7 +259,7 @@ class _Load:
         share = tolerance_column(F.lit(self.rule.reject_tolerance), F.col("_rows"))
         allowed = share * F.col("_rows")
         stop = aborted(self.rules, F.col("_rows"))
-        bad_name = name_error(F.col(FILE)) if has_date(self.rule.filename_pattern) else F.lit(None)
+        bad_name = name_error(decoded(F.col(FILE))) if has_date(self.rule.filename_pattern) else F.lit(None)
         reason = (
             F.when(bad_name == INVALID_NAME_DATE, bad_name)
             .when(F.col("_corrupt") > allowed, F.format_string("Too many corrupted lines (%d > %s)", "_corrupt",
@@ -196,10 +272,11 @@ class _Load:
 
     def _file_facts(self) -> list[Column]:
         """What the name of a file says, worked out once per file instead of once per line."""
-        parts = name_parts(F.col(FILE))
+        path = decoded(F.col(FILE))
+        parts = name_parts(path)
         dated = has_date(self.rule.filename_pattern)
         found = [(parts[p] if dated else F.lit(None)).cast("int").alias(f"_{p}") for p in PARTITIONS]
-        return [base_name(F.col(FILE)).alias("filename"), stem(F.col(FILE)).alias("_stem"), *found]
+        return [base_name(path).alias("filename"), stem(path).alias("_stem"), *found]
 
     def _passes(self) -> Column:
         """A row that survives the error actions of its (accepted) file."""
@@ -241,7 +318,8 @@ class _Load:
             F.when(F.col(f"_n{self.data.index(c)}") == 0, F.lit(c)) for c in self.required]).cast("array<string>"))
         files = self.verdicts.filter(F.col("_reason").isNull() | F.col("_abort").isNotNull()).join(
             self.profile.select(FILE, self._filled().alias("_filled"), hollow.alias("_hollow")), FILE, "left")
-        rows = self.lines.join(files.select(FILE, "_limit", "_filled", "_hollow"), FILE)
+        # A join drops the hint its sides had; without it the lines would be shuffled by file.
+        rows = self.lines.join(broadcast_if_small(files.select(FILE, "_limit", "_filled", "_hollow"), self.file_bytes), FILE)
         # Files that are not accepted have no profile.
         refused = F.col("_filled").isNotNull() & ~rejected(self.rules) & (invalid_columns(self.rules) > F.col("_limit"))
         whole = F.to_json(F.struct(*[column(c) for c in self.data]))
@@ -258,13 +336,14 @@ class _Load:
     def _bad_files(self) -> DataFrame:
         bad = self.verdicts.filter(F.col("_reason").isNotNull() & F.col("_abort").isNull())
         return bad.select(FILE, F.lit("FILE_REJECTED").alias("error_type"), F.col("_reason").alias("error_message"),
+                          F.when(F.col("_reason") == INVALID_NAME_DATE, F.col("filename")).alias("raw_value"),
                           F.greatest(F.col("_corrupt"), F.lit(1)).cast("long").alias("error_count"))
 
     def write_quarantine(self) -> None:
         """Corrupt lines as received, where the table asks for it."""
         if self.rule.invalid_lines_generate:
             bad = self.lines.filter(F.col(CORRUPT).isNotNull())
-            bad.select(base_name(F.col(FILE)).alias("filename"), LINE, F.col(CORRUPT).alias("record"),
+            bad.select(base_name(decoded(F.col(FILE))).alias("filename"), LINE, F.col(CORRUPT).alias("record"),
                        F.lit(self.at).alias("log_ts")).write.mode("append").parquet(
                 self.layout.quarantine(self.rule.table_name))
 
@@ -274,11 +353,13 @@ class _Load:
         return without(stamped, "_stem", *[f"_{p}" for p in PARTITIONS])
 
     def write_tables(self) -> None:
-        """Append to history, then bring the current table to its new state."""
+        """Append to history, then bring the current table to its new state. Without an accepted file nothing changes."""
         fmt, history = self.layout.fmt, self.layout.table(self.rule, "all")
-        totals = self.accepted.agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("size"),
+        totals = self.accepted.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("_bytes"), F.lit(0)).alias("size"),
                                    F.count_distinct(*[F.coalesce(f"_{p}", F.lit(0)) for p in PARTITIONS]).alias("days")
                                    ).first()
+        if not totals["files"]:
+            return
         # Files of one day fill one partition. Several days are first put together by day, or each task
         # would write a small file for each of them.
         spread = balanced if totals["days"] > 1 else (lambda df: df)

@@ -208,5 +208,8 @@ def rules_frame(spark: SparkSession, rules: Iterable[ColumnRule | TableRule], ki
     """Rules as a table, for storing or inspecting them with SQL."""
     names = [f.name for f in fields(kind)]
     schema = ", ".join(f"{n} string" for n in names)
-    rows = [Row(*[None if getattr(r, n) is None else str(getattr(r, n)) for n in names]) for r in rules]
+    def text(value) -> str | None:
+        return (",".join(value) or None) if isinstance(value, tuple) else None if value is None else str(value)
+
+    rows = [Row(*[text(getattr(r, n)) for n in names]) for r in rules]
     return spark.createDataFrame(rows, schema)

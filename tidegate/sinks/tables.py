@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 from datetime import datetime
@@ -9,6 +10,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.files import stem
 from tidegate.operators.modes import PROCESS_DATE
@@ -88,7 +90,7 @@ class CurrentTable:
     a failed job leaves behind is never read. One writer per table at a time.
     """
 
-    VERSION = "version long, location string, committed_at timestamp"
+    VERSION = "version long, location string, committed_at timestamp, columns string"
 
     def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet"):
         self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
@@ -106,14 +108,19 @@ class CurrentTable:
         return (row["version"], row["location"]) if row else (0, None)
 
     def read(self) -> DataFrame | None:
+        """The current state; one without rows has no files to tell its columns, so the log does."""
         location = self.latest()[1]
-        return None if location is None else read_table(self.spark, location, self.fmt)
+        state = None if location is None else read_table(self.spark, location, self.fmt)
+        if state is None and location is not None:
+            columns = self.commits().filter(F.col("location") == location).select("columns").first()["columns"]
+            state = self.spark.createDataFrame([], T.StructType.fromJson(json.loads(columns))) if columns else None
+        return state
 
     def replace(self, state: DataFrame) -> str:
         version = self.latest()[0] + 1
         location = f"{self.path}/v{version}-{uuid.uuid4().hex}"
         write_partitioned(state, location, "overwrite", self.fmt)
-        row = self.spark.createDataFrame([(version, location, datetime.now())], self.VERSION)
+        row = self.spark.createDataFrame([(version, location, datetime.now(), state.schema.json())], self.VERSION)
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/_versions")
         return location
 

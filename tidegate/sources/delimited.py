@@ -72,18 +72,36 @@ def header_names(reader: DataFrameReader, path: str) -> list[str]:
     return reader.option("header", True).csv(path).columns
 
 
+def file_heads(spark: SparkSession, path: str, rule: TableRule, glob: str | None = None) -> DataFrame:
+    """(_file, head): the first line of each file that is not blank, found by one scan without parsing."""
+    reader = spark.read.option("encoding", encoding(rule.charset))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    lines = with_lineage(reader.text(path), ["value"]).filter(F.trim("value") != "")
+    # Lines of a split come in order, so each task passes on one line per split at most.
+    return lines.groupBy(FILE).agg(F.min_by("value", F.struct(BLOCK, ROW)).alias("head"))
+
+
+def names_of_head(spark: SparkSession, rule: TableRule, head: str) -> list[str]:
+    """Column names a header line stands for."""
+    return csv_reader(spark, rule).option("header", True).csv(spark.sparkContext.parallelize([head], 1)).columns
+
+
 def read_delimited(spark: SparkSession, path: str, rule: TableRule, columns: Sequence[str],
-                   glob: str | None = None, lineage: bool = True, capture_corrupt: bool = True) -> DataFrame:
+                   glob: str | None = None, lineage: bool = True, capture_corrupt: bool = True,
+                   header: Sequence[str] | None = None) -> DataFrame:
     """All files of one table as text columns, plus the corrupt line (if any) and the row lineage.
 
     ``names`` headers keep the order of the file, ``skip`` headers and headerless files take the
-    configured names by position.
+    configured names by position. A caller that has looked at the first line of every file passes the
+    names as ``header``; it takes only files of that header.
     """
     mode = header_mode(rule.header)
-    names = list(columns)
+    names = list(header if header is not None and mode == "names" else columns)
     # Names taken from one file are checked against the header of every other file.
-    reader = csv_reader(spark, rule, glob).option("header", mode != "none").option("enforceSchema", mode != "names")
-    if mode != "none":
+    checked = mode == "names" and header is None
+    reader = csv_reader(spark, rule, glob).option("header", mode != "none").option("enforceSchema", not checked)
+    if mode != "none" and header is None:
         found = header_names(csv_reader(spark, rule, glob), path)
         if mode == "names":
             names = found
@@ -121,13 +139,13 @@ def slices(line: Column, rules: Sequence[ColumnRule]) -> list[Column]:
 
 
 def read_files(spark: SparkSession, path: str, rule: TableRule, rules: Sequence[ColumnRule],
-               glob: str | None = None) -> DataFrame:
+               glob: str | None = None, header: Sequence[str] | None = None) -> DataFrame:
     """Read by the configured input format."""
     if rule.input_format == "fixed":
         return read_fixed_width(spark, path, rule, rules, glob)
     if rule.input_format not in CSV_FORMATS:
         raise ValueError(f"Unsupported format {rule.input_format}")
-    return read_delimited(spark, path, rule, [r.column_name for r in ordered(rules)], glob)
+    return read_delimited(spark, path, rule, [r.column_name for r in ordered(rules)], glob, header=header)
 
 
 def _finish(df: DataFrame, rule: TableRule, names: list[str], lineage: bool) -> DataFrame:
