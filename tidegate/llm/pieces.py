@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidegate.llm.frames import arrow_batch, map_arrow, texts
-from tidegate.llm.words import Memo
+from tidegate.llm.words import Memo, chunks
 
 BLANK = "▁"
 RUN = re.compile(r" *[^ \n]+|\n| +")
@@ -162,15 +163,12 @@ class PieceModel:
             out.append((",".join([decimal[i] for i in ids]), self.decode_run(ids) if None in parts else "".join(parts)))
         return out
 
-    def round_trip(self, text: str) -> tuple[str, str]:
-        """Ids of a whole text as decimal numbers joined by commas, and the text they decode to."""
-        runs = self.runs(text)
-        if not runs:
-            return "", ""
-        self.memo.ready(runs)
-        entries = [self.memo[run] for run in runs]
-        # The first run begins with the blank put in front; a piece of text that decodes to it loses it again.
-        return ",".join([e[0] for e in entries]), "".join([e[1] for e in entries])[1:]
+    def round_trips(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
+        """Of each whole text its ids as decimal numbers joined by commas, and the text they decode to."""
+        for chunk in chunks(texts):
+            for entries in self.memo.values_of([self.runs(text) for text in chunk]):
+                # The first run begins with the blank put in front, which decoding takes off again.
+                yield ",".join([e[0] for e in entries]), "".join([e[1] for e in entries])[1:]
 
 
 def _utf8(data: bytes) -> str:
@@ -198,8 +196,7 @@ def encode_decode(docs: DataFrame, path: str, with_text: bool = False) -> DataFr
         pieces = model(path)
         for batch in batches:
             count, ids_hash, text_hash, ids_text, decoded_text = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                ids, decoded = pieces.round_trip(text or "")
+            for ids, decoded in pieces.round_trips(batch.column("text").to_pylist()):
                 count.append(ids.count(",") + 1 if ids else 0)
                 ids_hash.append(hashlib.sha256(ids.encode("ascii")).hexdigest())
                 text_hash.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.frames import arrow_batch, ddl, map_arrow, texts
-from tidegate.llm.words import BASE, Memo, mix, powers
+from tidegate.llm.words import BASE, Memo, chunks, mix, powers
 
 # Bound of the training sample: so many documents of each class, chosen by a hash of their id.
 PER_CLASS = 2000
@@ -186,16 +186,16 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> D
 
         memo = Memo(values)
         for batch in batches:
-            out = np.empty(batch.num_rows)
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                words = (text or "").split()
-                memo.ready(words)
-                total = sum(map(memo.__getitem__, words), 0j)
-                for value, n in zip(mark_values, marks(text or "", words)):
-                    total += n * (value + 1j)
-                out[i] = start + (total.real / total.imag if words else 0.0)
+            out = []
+            for chunk in chunks(batch.column("text").to_pylist()):
+                split = [text.split() for text in chunk]
+                for text, words, found in zip(chunk, split, memo.values_of(split)):
+                    total = sum(found, 0j)
+                    for value, n in zip(mark_values, marks(text, words)):
+                        total += n * (value + 1j)
+                    out.append(start + (total.real / total.imag if words else 0.0))
             columns = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(0.5 * (1 + np.tanh(out / 2)))], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(0.5 * (1 + np.tanh(np.array(out) / 2)))], names=[*keep, "score"])
 
     return map_arrow(read, run, f"{ddl(read, keep)}, score double")
 

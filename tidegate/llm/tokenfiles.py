@@ -24,6 +24,8 @@ import os
 import re
 import uuid
 import zlib
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -34,11 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.llm.frames import arrow_batch, map_arrow, texts
-from tidegate.llm.words import Memo
+from tidegate.llm.words import Memo, chunks
 from tidegate.session import fresh_path
 
-RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-OTHER_BLANK = re.compile(r"[^\S \n]")
+# A run of letters ends before punctuation, where the word pattern cuts, too; any other run ends before a blank.
+RUN = re.compile(r"[ \n]*[a-zA-ZÀ-ÖØ-öø-ÿ]+(?![^ \n.,!?;:|])|[ \n]*[^ \n]+|[ \n]+")
+# White space of any kind but the blank and the line feed.
+OTHER_BLANKS = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"]
 READ_ROWS = 4096
 
 
@@ -51,24 +55,26 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.kind = "H" if self.dtype == "<u2" else "I"
         rules = json.loads(self.tokenizer.to_str())
         before = rules.get("pre_tokenizer") or {}
         self.by_run = (rules.get("normalizer") is None and before.get("type") == "ByteLevel"
                        and before.get("use_regex") and not before.get("add_prefix_space"))
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([OTHER_BLANK.pattern, *added]))
+        # Texts with any of these are encoded as a whole.
+        self.whole = [*OTHER_BLANKS, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.memo = Memo(self.pack_all)
 
     def pack_all(self, runs: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in coded]
+        return [array(self.kind, e.ids).tobytes() for e in coded]
 
-    def pack(self, text: str) -> bytes:
-        if not self.by_run or self.whole.search(text):
-            return self.pack_all([text])[0]
-        runs = RUN.findall(text)
-        self.memo.ready(runs)
-        return b"".join(map(self.memo.__getitem__, runs))
+    def pack_each(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Packed ids of each text."""
+        for chunk in chunks(texts):
+            runs = [RUN.findall(t) if self.by_run and not any(w in t for w in self.whole) else None for t in chunk]
+            found = iter(self.memo.values_of([r for r in runs if r is not None]))
+            for text, cut in zip(chunk, runs):
+                yield self.pack_all([text])[0] if cut is None else b"".join(next(found))
 
 
 @lru_cache(maxsize=2)
@@ -115,8 +121,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> dict:
         def packed():
             for batch in batches:
                 ids.append(batch.column(0))
-                for text in batch.column(1).to_pylist():
-                    data = coder.pack(text or "") + end
+                for data in coder.pack_each(batch.column(1).to_pylist()):
+                    data += end
                     lengths.append(len(data) // width)
                     yield data
 

@@ -15,6 +15,7 @@ Defined cases: null is an empty text; an empty text has no tokens and the score
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidegate.llm.frames import arrow_batch, map_arrow, texts
-from tidegate.llm.words import Memo
+from tidegate.llm.words import Memo, chunks
 
 BLANK = "▁"
 RUN = re.compile(f"{BLANK}*[^{BLANK}\n]+|\n|{BLANK}+")
@@ -87,13 +88,12 @@ class Counter:
             close(at)
         return count[size], best[size]
 
-    def count(self, text: str) -> tuple[int, float]:
-        if not text:
-            return 0, 0.0
-        runs = RUN.findall(BLANK + text.replace(" ", BLANK))
-        self.memo.ready(runs)
-        found = list(map(self.memo.__getitem__, runs))
-        return sum([n for n, _ in found]), sum([s for _, s in found])
+    def count_each(self, texts: list[str | None]) -> Iterator[tuple[int, float]]:
+        """(pieces, score) of each text."""
+        for chunk in chunks(texts):
+            runs = [RUN.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in chunk]
+            for found in self.memo.values_of(runs):
+                yield sum([n for n, _ in found]), float(sum([s for _, s in found]))
 
 
 @lru_cache(maxsize=2)
@@ -107,9 +107,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         found = counter(path)
         for batch in batches:
-            rows = [found.count(text or "") for text in batch.column("text").to_pylist()]
+            rows = list(found.count_each(batch.column("text").to_pylist()))
             yield arrow_batch(doc_id=batch.column("doc_id"), n_tokens=pa.array([n for n, _ in rows], pa.int64()),
-                              score=pa.array([float(s) for _, s in rows], pa.float64()))
+                              score=pa.array([s for _, s in rows], pa.float64()))
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return map_arrow(texts(docs), run, f"doc_id {id_type}, n_tokens long, score double")

@@ -10,6 +10,7 @@ import pyarrow as pa
 
 # Texts are handled in pieces of about so many bytes, which bounds the temporary arrays of a Python worker.
 CHUNK_BYTES = 2 << 20
+HASH_WORDS = 50_000
 
 # Multiplier of the rolling hash (odd, so that it has an inverse modulo 2**64) and of the final mixing.
 BASE = 0x9E3779B97F4A7C15
@@ -87,10 +88,17 @@ class Words:
         """64-bit fingerprint of every word."""
         if not len(self):
             return np.zeros(0, dtype=np.uint64)
-        base, inverse = powers(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * base[:-1], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * inverse[self.start])
+        out = np.empty(len(self), dtype=np.uint64)
+        for low in range(0, len(self), HASH_WORDS):
+            # A run of words at a time: the sums take eight bytes for each byte of text.
+            start, end = self.start[low:low + HASH_WORDS], self.end[low:low + HASH_WORDS]
+            data = self.data[start[0]:end[-1]].astype(np.uint64)
+            base, inverse = powers(len(data) + 1)
+            total = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum((data + np.uint64(1)) * base[:-1], out=total[1:])
+            start, end = start - start[0], end - start[0]
+            out[low:low + HASH_WORDS] = mix((total[end] - total[start]) * inverse[start])
+        return out
 
     def text(self, i: int) -> bytes:
         return self.data[self.start[i]:self.end[i]].tobytes()
@@ -136,22 +144,46 @@ def words_of(column: pa.Array, members: np.ndarray, lower: bool) -> Words:
     return Words(*buffers(column), members, lower)
 
 
+def chunks(texts: list[str | None], chars: int = 1 << 20) -> Iterator[list[str]]:
+    """Runs of texts with about so many characters in all; null counts as empty."""
+    held, size = [], 0
+    for text in texts:
+        text = text or ""
+        if held and size + len(text) > chars:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 class Memo(dict):
-    """What was computed for a word before; emptied when it holds too much, so its memory is bounded."""
+    """What was computed for a word before, in two generations: when one holds too much it becomes the old one, from
+    which words still in use are taken over, and the one before it is forgotten. So memory is bounded."""
 
-    def __init__(self, compute: Callable[[list[str]], Iterable], entries: int = 400_000, chars: int = 16_000_000):
+    def __init__(self, compute: Callable[[list[str]], Iterable], entries: int = 300_000, chars: int = 12_000_000):
         super().__init__()
         self.compute, self.entries, self.chars, self.held = compute, entries, chars, 0
-
-    def ready(self, words: list[str]) -> None:
-        """Make sure that every word has an entry."""
-        missing = [w for w in set(words) if w not in self]
-        if not missing:
-            return
-        size = sum(map(len, missing))
-        if len(self) + len(missing) > self.entries or self.held + size > self.chars:
+        self.old: dict = {}
+
+    def values_of(self, lists: list[list[str]]) -> list[list]:
+        """The value of every word of every list; those that are not known are computed together."""
+        found = [list(map(self.get, words)) for words in lists]
+        holes = [i for i, values in enumerate(found) if None in values]
+        if not holes:
+            return found
+        missing = {w for i in holes for w, v in zip(lists[i], found[i]) if v is None}
+        old = self.old
+        fresh = {w: old[w] for w in missing if w in old}
+        rest = [w for w in missing if w not in fresh]
+        fresh.update(zip(rest, self.compute(rest)))
+        size = sum(map(len, fresh))
+        if len(self) + len(fresh) > self.entries or self.held + size > self.chars:
+            self.old, self.held = dict(self), 0
             self.clear()
-            missing = list(set(words))
-            self.held, size = 0, sum(map(len, missing))
         self.held += size
-        self.update(zip(missing, self.compute(missing)))
+        self.update(fresh)
+        for i in holes:
+            found[i] = [fresh[w] if v is None else v for w, v in zip(lists[i], found[i])]
+        return found
