@@ -363,7 +363,7 @@ class _Load:
         # Files of one day fill one partition. Several days are first put together by day, or each task
         # would write a small file for each of them.
         spread = balanced if totals["days"] > 1 else (lambda df: df)
-        write_partitioned(spread(without(self._stamped(read_table(self.spark, history, fmt)), FILE)), history, fmt=fmt)
+        write_partitioned(spread(without(self._stamped(read_table(self.spark, history, fmt, merge=False)), FILE)), history, fmt=fmt)
         current = CurrentTable(self.spark, self.layout.table(self.rule, "last"), fmt)
         target = current.read()
         batch = self._stamped(target)

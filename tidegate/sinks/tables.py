@@ -52,10 +52,13 @@ def stamp(df: DataFrame, parts: Mapping[str, Column | int | None] | None = None,
     return move_first(stamped, (FILE_NAME, PROCESS_DATE))
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """A stored table with the union of the columns ever written, or None when there is none."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = True) -> DataFrame | None:
+    """A stored table with the union of the columns ever written, or None when there is none.
+
+    The union takes the footer of every file. Who needs the partition columns only does without it.
+    """
     try:
-        return spark.read.format(fmt).option("mergeSchema", True).load(path)
+        return spark.read.format(fmt).option("mergeSchema", merge).load(path)
     except AnalysisException as error:
         if is_absent(error):
             return None
