@@ -13,7 +13,7 @@ def test_stages_one_by_one(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     kept = []
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.stored(stage(spark, docs, FOLDER), name)
+        docs = corpus_pipeline.staged(stage(spark, docs, FOLDER), name)
         assert tuple(docs.columns) == corpus_pipeline.COLUMNS
         kept.append({r["doc_id"]: r["text"] for r in docs.collect()})
     good, single, short, clean = kept

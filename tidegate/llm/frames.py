@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
@@ -34,11 +34,15 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    root = Path(__file__).resolve().parents[1]
-    path = f"{tempfile.mkdtemp(prefix='package-')}/{root.name}.zip"
-    with zipfile.ZipFile(path, "w") as out:
+    root, packed = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for file in sorted(root.rglob("*.py")):
             out.write(file, file.relative_to(root.parent))
+    path = f"{fresh_path(spark, 'package')}/{root.name}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(packed.getvalue())
+    stream.close()
     context.addPyFile(path)
     _shipped.add(context.applicationId)
 
@@ -55,9 +59,27 @@ def map_groups(df: DataFrame, key: str, run: Callable, schema) -> DataFrame:
     return df.groupBy(key).applyInArrow(run, schema)
 
 
+# Tables written since a driver asked for a record of them; None while nobody does.
+_scratch: list[str] | None = None
+
+
+def release(spark: SparkSession, last: bool = False) -> None:
+    """Delete what `stored` has written since the call before, and go on recording unless it is the last call.
+
+    For a driver whose results up to here are all written elsewhere.
+    """
+    global _scratch
+    for name in _scratch or ():
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _scratch = None if last else []
+
+
 def stored(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = fresh_path(df.sparkSession, label)
+    if _scratch is not None:
+        _scratch.append(path)
     df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
