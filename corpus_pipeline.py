@@ -1,7 +1,8 @@
 """From raw documents to documents fit for training, stage by stage.
 
 Every stage reads what its predecessor kept and returns the columns of documents; the last adds what encoding gives.
-Texts that a stage changes get a new n_chars. Rows that share a doc_id are decided together.
+Texts that a stage changes get a new n_chars. Rows that share a doc_id are decided together. A stage's result has to
+be written before the next stage is called, which first deletes the tables its predecessor worked with.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm import contamination, neardup, pieces, quality, substrings
-from tidegate.llm.frames import stored
+from tidegate.llm.frames import release
 from tidegate.llm.queries import tokenizer_path
+from tidegate.session import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # SQL cannot express the trained classifier; tests compare the stages with brute force.
@@ -20,12 +22,14 @@ ORACLE_SQL = None
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the classifier, trained on the labels outside the held-out part, finds likelier to be poor."""
+    release(spark)
     scored = quality.quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=COLUMNS)
     return scored.where("predicted = 1").select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest document of each group of near-duplicates. Texts without words stay."""
+    release(spark)
     dropped = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
 
@@ -33,6 +37,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out passages of 50 words or more that also stand in an earlier document. Untouched texts keep their white
     space; documents of which nothing is left go."""
+    release(spark)
     cut = substrings.deduplicated(docs, keep=COLUMNS)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     return (cut.where("n_removed = 0 OR n_removed < n_words")
@@ -42,6 +47,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a 10-word window of a benchmark item."""
+    release(spark)
     found = contamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     dropped = found.where("contaminated").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
@@ -49,6 +55,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and proof that they decode to it."""
+    release(spark, last=True)
     return pieces.encode_decode(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
@@ -60,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages one after another, each stored and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = staged(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
