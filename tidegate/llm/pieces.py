@@ -70,7 +70,7 @@ class PieceModel:
                 self.automaton.add_word(text, (i, len(text)))
         self.automaton.make_automaton()
         self.fits: dict[int, bool] = {}
-        self.memo = Memo(self._entries)
+        self.memo = Memo(self._entries, entries=120_000, chars=4_000_000)
 
     def merged(self, text: str) -> list[str]:
         """What merging makes of a short text: best score first, leftmost among equals. Used for pairs of pieces only."""
@@ -90,7 +90,7 @@ class PieceModel:
         key = left << 16 | right
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 1_000_000:
+            if len(self.fits) > 250_000:
                 self.fits.clear()
             pair = [self.texts[left], self.texts[right]]
             known = self.fits[key] = self.merged(pair[0] + pair[1]) == pair

@@ -28,7 +28,7 @@ from tidegate.llm.frames import arrow_batch, ddl, map_arrow, texts
 from tidegate.llm.words import BASE, Memo, chunks, mix, powers
 
 # Bound of the training sample: so many documents of each class, chosen by a hash of their id.
-PER_CLASS = 2000
+PER_CLASS = 800
 
 # Two marks that count as words of their own, MARK_WEIGHT times each: a word that repeats the one before it, and a word
 # in a line that occurs more than once in the document.
@@ -135,13 +135,14 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], shares: tuple[int, int
     The sample holds the classes about equally; the bias is then moved to their shares among all labels.
     """
     random = np.random.default_rng(s.seed)
-    vectors = random.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
+    vectors = (random.random((s.buckets, s.dim), dtype=np.float32) * 2 - 1) / np.float32(s.dim)
     weights, bias = np.zeros((2, s.dim), dtype=np.float32), np.zeros(2, dtype=np.float32)
-    rows = [(y, b, c / c.sum()) for y, b, c in rows if len(b)]
+    rows = [(y, b, c) for y, b, c in rows if len(b)]
     order: list[int] = []
     for step in range(s.steps if rows else 0):
         order = order or random.permutation(len(rows)).tolist()
-        y, buckets, share = rows[order.pop()]
+        y, buckets, counts = rows[order.pop()]
+        share = counts / counts.sum()
         rate = np.float32(s.rate * (1 - step / s.steps))
         hidden = share @ vectors[buckets]
         out = weights @ hidden + bias
@@ -184,7 +185,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> D
             sums = np.bincount(index, weights=table[bucket], minlength=len(words))
             return (sums + 1j * np.bincount(index, minlength=len(words))).tolist()
 
-        memo = Memo(values)
+        memo = Memo(values, entries=100_000, chars=4_000_000)
         for batch in batches:
             out = []
             for chunk in chunks(batch.column("text").to_pylist()):

@@ -57,7 +57,7 @@ class Counter:
         for piece, score in dict(pieces).items():
             self.automaton.add_word(piece, (score, len(piece)))
         self.automaton.make_automaton()
-        self.memo = Memo(lambda runs: list(map(self.count_run, runs)))
+        self.memo = Memo(lambda runs: list(map(self.count_run, runs)), entries=150_000, chars=6_000_000)
 
     def count_run(self, text: str) -> tuple[int, float]:
         """(pieces, score) of the best way through a text."""
