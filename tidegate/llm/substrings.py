@@ -12,6 +12,8 @@ then streamed backwards through it, in step. Each step prepends a word to the in
 WINDOW words first drops its last word (the interval of one word less is looked up by row), so the matching statistic stays at
 WINDOW and every window costs one step. Each interval carries the smallest document that has it.
 
+Equal texts. Of documents with the same text (64-bit fingerprint and length) only the smallest is cut up.
+
 Hot anchors. An anchor with more than HOT occurrences is spread over several shards. Each of these reports the windows
 it saw first under a fingerprint (those of one document for each distinct window); their overall first document comes
 from an aggregation by fingerprint, combined before its shuffle.
@@ -36,6 +38,8 @@ from tidegate.llm.words import BASE, NOT_BLANK, mix, pieces, shingles, words_of
 WINDOW, GRAM, DEPTH = 50, 8, 64
 HOT = 4000
 SHARD_WORDS = 400_000
+# Last window of a range that covers a whole text, whatever its length.
+WHOLE = (1 << 31) - 1
 PLACE_BITS = np.uint64(24)
 
 
@@ -244,7 +248,8 @@ def search_shards(segments: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, __row, low, high): ranges of windows that also start in a document with a smaller id.
+    """(doc_id, __row, low, high): ranges of windows that also start in a document with a smaller id; WHOLE as high stands
+    for the last window.
 
     docs: doc_id, text, __row (fingerprint of the text).
     """
@@ -252,19 +257,25 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     shared = stored(anchors.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"),
                                                   F.sum(F.col("high") - F.col("low") + WINDOW).alias("words"))
                     .where("least != most").select("anchor", "n", "words"), "shared")
+    # Of equal texts only the smallest document is cut up; every window of the others is a repeat.
+    texts_of = docs.where("doc_id IS NOT NULL").select("doc_id", "__row", F.octet_length("text").alias("size"))
+    same = texts_of.groupBy("__row", "size").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least != most")
+    copies = stored(texts_of.join(same, ["__row", "size"]).where("doc_id > least").select("doc_id", "__row").distinct(), "copies")
     total = shared.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
     parts = F.ceil(F.col("n") / HOT).cast("int")
     part = F.pmod(F.xxhash64("doc_id", "__row"), parts)
     places = (anchors.join(shared.select("anchor", "n"), "anchor")
               .groupBy("doc_id", "__row").agg(F.collect_list(F.struct(
-                  "low", "high", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).cast("int").alias("shard"), (parts > 1).alias("hot"))).alias("found")))
+                  "low", "high", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).cast("int").alias("shard"), (parts > 1).alias("hot"))).alias("found"))
+              .join(copies, ["doc_id", "__row"], "left_anti"))
     searched = stored(search_shards(cut_segments(docs, places)), "repeats")
     near = searched.where("print_1 IS NULL").select("doc_id", "__row", "low", "high")
     first = searched.where("print_1 IS NOT NULL")
     least = first.groupBy("print_1", "print_2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least != most")
     far = first.join(least, ["print_1", "print_2"]).where("doc_id > least").select("doc_id", "__row", "low", "high")
-    return near.unionByName(far)
+    whole = copies.select("doc_id", "__row", F.lit(0).alias("low"), F.lit(WHOLE).alias("high"))
+    return near.unionByName(far).unionByName(whole)
 
 
 def deduplicated(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -284,9 +295,10 @@ def deduplicated(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
                 words = (text or "").encode("utf-8").split()
                 count.append(len(words))
                 if found:
-                    edge = np.zeros(len(words) + 1, dtype=np.int64)
-                    np.add.at(edge, [r["low"] for r in found], 1)
-                    np.add.at(edge, [r["high"] + WINDOW for r in found], -1)
+                    edge, last = np.zeros(len(words) + 1, dtype=np.int64), len(words) - WINDOW
+                    ranges_of = [(r["low"], min(r["high"], last)) for r in found if r["low"] <= last]
+                    np.add.at(edge, [low for low, _ in ranges_of], 1)
+                    np.add.at(edge, [high + WINDOW for _, high in ranges_of], -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
                 removed.append(count[-1] - len(words))
                 rest = b" ".join(words)
