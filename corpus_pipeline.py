@@ -16,6 +16,8 @@ from tidegate.llm.queries import tokenizer_path
 from tidegate.session import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Percent of shared word shingles from which documents are near-duplicates, and the minhash collections that takes.
+NEAR, NEAR_GROUPS = 80, 16
 # SQL cannot express the trained classifier; tests compare the stages with brute force.
 ORACLE_SQL = None
 
@@ -28,9 +30,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest document of each group of near-duplicates. Texts without words stay."""
+    """Keep the smallest document of each group of near-duplicates (a Jaccard similarity of 0.80 or more). Texts without
+    words stay."""
     release(spark)
-    dropped = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    dropped = neardup.near_duplicates(docs, NEAR, NEAR_GROUPS).where("NOT kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
 
 

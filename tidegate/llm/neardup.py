@@ -2,8 +2,8 @@
 
 A text is the set of its five-word shingles. Instead of one hash collection per table, GROUPS small collections of HASHES
 minhashes each are computed, and a table's key is a pair of them: 12 collections of 3 give 66 tables of 6 minhashes from 36
-instead of 396 minhashes. Two texts meet when at least two collections agree; at a similarity of 0.85 that fails for 3 pairs
-in 10,000.
+instead of 396 minhashes. Two texts meet when at least two collections agree; at a similarity of 0.85 that fails for 2 pairs
+in 10,000. Lower thresholds need more collections: at 0.80, 12 would miss 25 pairs in 10,000 and 16 miss 2.
 
 1. Texts with the same set form a class; from here on only its smallest document takes part.
 2. Each key's smallest document is its leader; all others are tied to it (never to each other). The connected parts of
@@ -57,10 +57,10 @@ def shingle_sets(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     return out, begin
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, groups: int = GROUPS) -> DataFrame:
     """doc_id, n_shingles, size (bytes of text), print_1, print_2 (fingerprint of the set), bands (one hash per collection)."""
     random = np.random.default_rng(5)
-    factors = (random.integers(0, 1 << 63, (GROUPS * HASHES, 2), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+    factors = (random.integers(0, 1 << 63, (groups * HASHES, 2), dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
     def run(batches):
         for batch in batches:
@@ -69,7 +69,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 rows = np.flatnonzero(np.diff(begin))
                 low = np.array([np.minimum.reduceat(found * a + b, begin[rows]) for a, b in factors]) if len(rows) else np.zeros((len(factors), 0), np.uint64)
                 bands = []
-                for g in range(GROUPS):
+                for g in range(groups):
                     value = np.full(len(rows), g, np.uint64)
                     for h in range(HASHES):
                         value = mix(value + low[g * HASHES + h])
@@ -81,7 +81,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     n[i] = len(distinct)
                     prints[0, i], prints[1, i] = mix(distinct).sum(), mix(distinct ^ factors[0, 0]).sum()
                 listed = np.zeros(piece.num_rows + 1, np.int32)
-                listed[1:][rows] = GROUPS
+                listed[1:][rows] = groups
                 flat = np.array(bands).T.ravel() if len(rows) else np.zeros(0, np.int64)
                 sizes = pa.compute.fill_null(pa.compute.binary_length(piece.column(1)), 0).cast(pa.int64())
                 yield arrow_batch(doc_id=piece.column(0), n_shingles=n, size=sizes, print_1=prints[0].astype(np.int64),
@@ -92,23 +92,23 @@ def signatures(docs: DataFrame) -> DataFrame:
     return map_arrow(texts(docs), run, f"doc_id {id_type}, n_shingles long, size long, print_1 long, print_2 long, bands array<long>")
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
+def candidate_groups(classes: DataFrame, groups: int = GROUPS) -> DataFrame:
     """doc, candidate group of every class representative that shares a table key with another."""
-    keys = F.array(*[F.xxhash64(F.lit(i * GROUPS + j), F.col("bands")[i], F.col("bands")[j])
-                     for i in range(GROUPS) for j in range(i + 1, GROUPS)])
+    keys = F.array(*[F.xxhash64(F.lit(i * groups + j), F.col("bands")[i], F.col("bands")[j])
+                     for i in range(groups) for j in range(i + 1, groups)])
     keyed = classes.select("doc", F.explode(keys).alias("key"))
     leaders = keyed.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("other")).where("leader != other")
     ties = keyed.join(leaders.select("key", "leader"), "key").where("doc != leader").select(F.col("doc").alias("a"), F.col("leader").alias("b")).distinct()
     return components(ties).select(F.col("node").alias("doc"), F.col("component").alias("part"))
 
 
-def comparison_units(members: DataFrame) -> DataFrame:
+def comparison_units(members: DataFrame, percent: int = SIMILAR) -> DataFrame:
     """(doc, unit, side): the tasks in which each member of a group is compared. Input: doc, part, n_shingles, size.
 
     A small group is one unit. A large one is cut into size classes; neighbouring classes and the blocks of a class meet in
     pairs, each pair a unit whose two sides are compared with each other.
     """
-    step = math.log(100 / SIMILAR)
+    step = math.log(100 / percent)
     whole = members.groupBy("part").agg(F.sum("size").alias("total"))
     small = members.join(whole.where(F.col("total") <= BLOCK_BYTES).select("part"), "part").select(
         "doc", F.concat_ws(":", F.col("part").cast("string")).alias("unit"), F.lit(0).alias("side"))
@@ -219,7 +219,7 @@ def _consecutive(batches):
         yield held
 
 
-def confirmed_links(docs: DataFrame, units: DataFrame) -> DataFrame:
+def confirmed_links(docs: DataFrame, units: DataFrame, percent: int = SIMILAR) -> DataFrame:
     """(a, b): links that join whatever is similar within each unit."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     dealt = (units.join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").select("unit", "doc", "side", "text")
@@ -235,7 +235,7 @@ def confirmed_links(docs: DataFrame, units: DataFrame) -> DataFrame:
                 continue
             found, begin = shingle_sets(words_of(pa.array([r[2] for r in rows], pa.large_string()), NOT_BLANK, True))
             sets = [np.unique(found[x:y]) for x, y in zip(begin, begin[1:])]
-            label = confirmed(sets, [r[1] for r in rows])
+            label = confirmed(sets, [r[1] for r in rows], percent)
             moved = np.flatnonzero(label != np.arange(len(rows)))
             if len(moved):
                 yield arrow_batch(a=pa.array([rows[i][0] for i in moved], arrow_type), b=pa.array([rows[label[i]][0] for i in moved], arrow_type))
@@ -243,10 +243,11 @@ def confirmed_links(docs: DataFrame, units: DataFrame) -> DataFrame:
     return map_arrow(dealt, run, f"a {id_type}, b {id_type}")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest document reachable over links), kept; one row per input row."""
+def near_duplicates(docs: DataFrame, percent: int = SIMILAR, groups: int = GROUPS) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest document reachable over links), kept; one row per input row. Pairs of
+    `percent` similarity or more link."""
     docs = texts(docs)
-    signed = stored(signatures(docs), "signatures")
+    signed = stored(signatures(docs, groups), "signatures")
     same = ["n_shingles", "print_1", "print_2"]
     classes = stored(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same)
                      .agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), F.first("size").alias("size")), "classes")
@@ -254,8 +255,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
     # A document whose rows have different texts may stand for several classes; its largest text is what is measured.
     sizes = classes.groupBy("doc").agg(F.max("n_shingles").alias("n_shingles"), F.sum("size").alias("size"))
-    members = stored(candidate_groups(classes).join(sizes, "doc"), "members")
-    links = confirmed_links(docs, comparison_units(members)).unionByName(copies)
+    members = stored(candidate_groups(classes, groups).join(sizes, "doc"), "members")
+    links = confirmed_links(docs, comparison_units(members, percent), percent).unionByName(copies)
     found = components(links)
     component = F.coalesce("component", "doc_id")
     return (signed.join(found, signed["doc_id"] == found["node"], "left")
