@@ -56,8 +56,12 @@ def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+# Longest n-grams of op6.
+LM_ORDER = 3
+
+
 def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return lm.scores(table(spark, folder, "documents"))
+    return lm.scores(table(spark, folder, "documents"), LM_ORDER)
 
 
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
