@@ -11,8 +11,8 @@ power of two. Most documents stay whole.
 A worker packs blocks of about `block_ids` ids, so its memory does not grow with its partition. Sequence numbers are the partition's number times
 2**33 plus a count; the same input gives the same numbers when a task is run again. There is no shuffle.
 
-Encoding is the tokenizers library's. Where the model joins nothing across blanks and cuts letters from punctuation, what a run of characters gave is
-remembered (a bounded memo); other models encode whole texts.
+Encoding is the tokenizers library's. Where the model joins nothing across blanks and cuts letters from punctuation, every distinct run of characters of a
+piece of texts is encoded once, and what it gave is remembered (a bounded memo); other models encode whole texts.
 
 Defined cases: null is an empty text; an empty text has only the end id; repeated rows are packed each by itself; only doc_id and text are read, so other columns
 may have any name; an empty table gives no pieces. Equal lengths keep the order of the rows.
@@ -22,72 +22,109 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from array import array
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.frames import map_arrow, texts
-from tidegate.llm.words import Memo, chunks
+from tidegate.llm.words import LOWER, Memo, Words, buffers, byte_table, pieces
 
 CAPACITY = 4096
 # Documents shorter than this part of the capacity are filler from the start.
 CLASSES = 32
 BLOCK_IDS, BATCH_IDS, MEMO_RUNS = 2 << 20, 1 << 20, 500_000
 
-# Letters up to a blank or to punctuation, or whatever stands between blanks.
-RUN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-ÿ]+(?![^ \n.,!?;:|])|[^ \n]+")
+# Where a run of characters begins: after a blank, or with punctuation after a letter.
+BLANK = byte_table(b" \n")
+LETTER = byte_table([*range(0x41, 0x5B), *range(0x61, 0x7B)])
+POINT = byte_table(b".,!?;:|")
+PIECE_BYTES = 4 << 20
 # Rules under which runs can be encoded one by one (fixed values: they stand so in the model file).
 BLANK_RULE = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class Runs(Words):
+    """Runs of characters that are encoded independently. Capitals become small letters where nothing can combine with them."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        n, inside = len(data), ~BLANK[data]
+        borders = offsets[:-1][offsets[:-1] < n]
+        after = np.ones(n, bool)
+        after[1:] = ~inside[:-1] | (LETTER[data[:-1]] & POINT[data[1:]])
+        after[borders] = True
+        begins = inside & after
+        ends = np.ones(n, bool)
+        ends[:-1] = after[1:] | ~inside[1:]
+        self.start, self.end = np.flatnonzero(begins), np.flatnonzero(inside & ends) + 1
+        alone = np.ones(n, bool)
+        alone[:-1] = data[1:] < 0x80
+        alone[borders[borders > 0] - 1] = True
+        self.data = np.where(alone, LOWER[data], data)
+        self.first = np.searchsorted(self.start, offsets)
+
+
 class Coder:
-    """Packed ids of texts."""
+    """Ids of texts, each followed by the end id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        wide = self.tokenizer.get_vocab_size() > 1 << 16
+        wide = max(self.tokenizer.get_vocab_size(), end_id + 1) > 1 << 16
         self.dtype, self.kind = ("<u4", "I") if wide else ("<u2", "H")
+        self.end = array(self.kind, [end_id]).tobytes()
         rules = json.loads(self.tokenizer.to_str())
         steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.by_run = (rules.get("normalizer") == {"type": "Sequence", "normalizers": [{"type": "NFC"}, BLANK_RULE, {"type": "Lowercase"}]}
                        and steps[0].get("pattern") == {"Regex": WORD_RULE} and steps[0].get("behavior") == "Removed"
                        and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
                        and not steps[1].get("use_regex") and not steps[1].get("add_prefix_space"))
-        self.whole = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo = Memo(self.pack_all, MEMO_RUNS)
 
-    def pack_all(self, runs: list[str]) -> list[bytes]:
-        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-
-    def runs(self, text: str) -> list[str] | None:
-        if not self.by_run or any(w in text for w in self.whole):
-            return None
-        return RUN.findall(text.lower() if text.isascii() else text)
-
-    def pack_each(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Packed ids of each text; null counts as empty."""
-        for chunk in chunks(texts):
-            cut = [self.runs(t) for t in chunk]
-            found = iter(self.memo.values_of([r for r in cut if r is not None]))
-            for text, runs in zip(chunk, cut):
-                yield self.pack_all([text])[0] if runs is None else b"".join(next(found))
+    def pack_all(self, texts: list[str]) -> list[bytes]:
+        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column, one after another, and how many each text has; null counts as empty."""
+        data, offsets = buffers(column)
+        # An added token is found before the text is cut up.
+        if self.by_run and not any(a in data.tobytes().lower() for a in self.added):
+            return self.ids_by_run(data, offsets)
+        coded = [b + self.end for b in self.pack_all([t or "" for t in column.to_pylist()])]
+        return np.frombuffer(b"".join(coded), self.dtype), np.array([len(b) for b in coded], np.int64) // len(self.end)
+
+    def ids_by_run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        runs = Runs(data, offsets)
+        # Each distinct run is looked up or encoded once; the rest is copying.
+        code, distinct = pd.factorize(runs.hashes())
+        sample = np.empty(len(distinct), np.int64)
+        sample[code[::-1]] = np.arange(len(code))[::-1]
+        raw = runs.data.tobytes()
+        words = [raw[a:b].decode() for a, b in zip(runs.start[sample].tolist(), runs.end[sample].tolist())]
+        coded = [*self.memo.values_of([words])[0], self.end] if words else [self.end]
+        size = np.array([len(b) for b in coded], np.int64) // len(self.end)
+        flat, place = np.frombuffer(b"".join(coded), self.dtype), within(size)
+        # The end id is one more run behind each text.
+        code = np.insert(code, runs.first[1:], len(coded) - 1)
+        count = size[code]
+        begin = within(count)
+        out = flat[np.arange(begin[-1]) + np.repeat(place[code] - begin[:-1], count)]
+        return out, np.diff(begin[runs.first + np.arange(len(runs.first))])
 
 
 @lru_cache(maxsize=2)
-def coder(path: str) -> Coder:
+def coder(path: str, end_id: int) -> Coder:
     """One coder per Python worker."""
-    return Coder(path)
+    return Coder(path, end_id)
 
 
 def within(sizes: np.ndarray) -> np.ndarray:
@@ -161,11 +198,9 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
     """
     kind = docs.schema["doc_id"].dataType
 
-    def emit(ids: pa.ChunkedArray, data: list[bytes], dtype: str, number: int):
+    def emit(ids: pa.ChunkedArray, flat: np.ndarray, lengths: np.ndarray, number: int):
         """The pieces of a block of documents in batches of bounded size."""
-        lengths = np.array([len(d) for d in data], np.int64) // np.dtype(dtype).itemsize
-        flat, base = np.frombuffer(b"".join(data), dtype), within(lengths)
-        plan = pack(lengths, capacity)
+        base, plan = within(lengths), pack(lengths, capacity)
         low, seen = 0, within(plan[:, 2])
         while low < len(plan):
             high = max(low + 1, int(np.searchsorted(seen, seen[low] + batch_ids, side="right")) - 1)
@@ -179,30 +214,23 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
             low = high
 
     def run(batches):
-        code, number = coder(tokenizer), TaskContext.get().partitionId() << 33
-        end = np.array([end_id], code.dtype).tobytes()
-        ids, data, held = [], [], 0
+        code, number, held = coder(tokenizer, end_id), TaskContext.get().partitionId() << 33, []
 
         def flush():
-            nonlocal ids, data, held, number
-            last = number - 1
-            for out in emit(pa.chunked_array(ids), data, code.dtype, number):
+            nonlocal number
+            parts, flat, lengths = zip(*held)
+            for out in emit(pa.chunked_array(parts), np.concatenate(flat), np.concatenate(lengths), number):
                 last = out.column(5)[-1].as_py()
                 yield out
-            ids, data, held, number = [], [], 0, last + 1
+            number = last + 1
+            held.clear()
 
         for batch in batches:
-            done = 0
-            for coded in code.pack_each(batch.column(1).to_pylist()):
-                data.append(coded + end)
-                held += len(data[-1]) // len(end)
-                done += 1
-                if held >= block_ids:
-                    ids.append(batch.column(0).slice(0, done))
+            for part in pieces(batch, limit=PIECE_BYTES):
+                held.append((part.column(0), *code.ids(part.column(1))))
+                if sum(len(flat) for _, flat, _ in held) >= block_ids:
                     yield from flush()
-                    batch, done = batch.slice(done), 0
-            ids.append(batch.column(0).slice(0, done))
-        if data:
+        if held:
             yield from flush()
 
     return map_arrow(texts(docs), run, f"doc_id {kind.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
