@@ -90,13 +90,13 @@ def csv_quoted_multiline(spark, folder):
     return typed(read_delimited(spark, path, rule, ["doc_id", "text", "lang"], lineage=False), rules)
 
 
-@query(r"""SELECT doc_id, regexp_replace(text, '[^\x{20}-\x{7E}\x{A0}-\x{FF}]', '', 'g') AS text FROM documents""")
+@query(r"""SELECT doc_id, regexp_replace(text, '[^\x{09}\x{0A}\x{20}-\x{7E}\x{A0}-\x{FF}]', '?', 'g') AS text FROM documents""")
 def csv_latin1(spark, folder):
-    latin = F.regexp_replace("text", r"[^\x{20}-\x{7E}\x{A0}-\x{FF}]", "")
+    latin = F.regexp_replace("text", r"[^\x{09}\x{0A}\x{20}-\x{7E}\x{A0}-\x{FF}]", "?")
     docs = table(spark, folder, "documents").select("doc_id", latin.alias("text"))
     path = as_csv(docs, encoding="ISO-8859-1", quoteAll=True, ignoreLeadingWhiteSpace=False,
                   ignoreTrailingWhiteSpace=False)
-    rule = TableRule("documents", input_format="csv_quote", charset="Latin1")
+    rule = TableRule("documents", input_format="csv_quote_ml", charset="Latin1")
     rules = [ColumnRule("doc_id", field_type="LONG"), ColumnRule("text")]
     return typed(read_delimited(spark, path, rule, ["doc_id", "text"], lineage=False), rules)
 

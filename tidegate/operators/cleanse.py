@@ -13,6 +13,7 @@ from tidegate.functions.checks import CHECK_ERRORS, check
 from tidegate.functions.dates import date_error, parse_temporal, shape_of, temporal_default
 from tidegate.functions.text import TRANSFORMS, transform
 from tidegate.functions.typing import is_temporal, safe_cast, spark_type
+from tidegate.operators.members import flag_members, value_list
 from tidegate.operators.shape import column
 from tidegate.rules import ColumnRule
 from tidegate.session import tune
@@ -52,6 +53,10 @@ def cleanse(df: DataFrame, rules: Sequence[ColumnRule], trim: bool = False) -> D
     if temporal:
         step = step.select("*", *[shape_of(F.col(f"_t{i}")).alias(f"_s{i}") for i in temporal])
 
+    for i, rule in enumerate(active):
+        if rule.enumeration_table:
+            step = flag_members(step, f"_t{i}", value_list(df.sparkSession, rule.enumeration_table), f"_m{i}")
+
     step = step.select("*", *[_valid(i, rule).alias(f"_v{i}") for i, rule in enumerate(active)])
 
     outputs, found = [], []
@@ -86,11 +91,19 @@ def _valid(i: int, rule: ColumnRule) -> Column:
         if rule.transformation_type in TRANSFORMS or rule.transformation_type in CHECK_ERRORS:
             pattern = None
         return parse_temporal(text, kind, pattern, F.col(f"_s{i}"))
-    passed = check(text, rule.transformation_type, rule.enumeration)
+    passed = _passed(i, rule)
     value = safe_cast(text, kind)
     return value if passed is None else F.when(passed, value)
 
 
+def _passed(i: int, rule: ColumnRule) -> Column | None:
+    """Whether the text passes its check, if it has one."""
+    passed = check(F.col(f"_t{i}"), rule.transformation_type, rule.enumeration)
+    if not rule.enumeration_table:
+        return passed
+    return F.col(f"_m{i}") if passed is None else passed & F.col(f"_m{i}")
+
+
 def _value(i: int, rule: ColumnRule) -> Column:
     kind, value = rule_type(rule), F.col(f"_v{i}")
     if rule.default_invalid is None:
@@ -108,8 +121,7 @@ def _errors(i: int, rule: ColumnRule, raw: Column) -> list[tuple[Column, Column]
         out.append(_entry(rule, date_error(text, value), raw))
     else:
         wrong = value.isNull() & text.isNotNull() & (F.trim(text) != "")
-        checked = check(text, rule.transformation_type, rule.enumeration) is not None
-        if checked:
+        if _passed(i, rule) is not None:
             failed = CHECK_ERRORS.get(rule.transformation_type or "", CHECK_ERRORS["enumeration"])
             out.append(_entry(rule, F.when(wrong, F.lit(failed)), raw))
         elif not isinstance(kind, T.StringType):

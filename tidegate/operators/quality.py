@@ -12,7 +12,12 @@ from tidegate.functions.settings import tolerance_column
 from tidegate.operators.cleanse import NULL_VALUE
 from tidegate.operators.shape import column
 
+# Error codes of the whole-file checks, and the name that stands for all columns.
 ALL_NULL = "FILE_EMPTY_OR_ALL_NULL"
+NULL_KEY = "NULL_KEY"
+COLUMN_ALL_NULL = "COLUMN ALL NULL"
+DUPLICATE_KEY = "DUPLICATE_KEY"
+ALL_COLUMNS = "ALL_COLUMNS"
 ERROR_COLUMNS = ("table_name", "filename", "line_id", "column_name", "error_message", "error_count")
 
 
@@ -37,12 +42,12 @@ def check_profile(profile: DataFrame, data_columns: Sequence[str], keys: Sequenc
     """
     seen = {c: F.col(f"_n{i}") for i, c in enumerate(data_columns)}
     empty = F.greatest(*seen.values(), F.lit(0).cast("long")) == 0
-    entries = [F.when(empty, _struct(F.lit("ALL_COLUMNS"), ALL_NULL, F.lit(1)))]
+    entries = [F.when(empty, _struct(F.lit(ALL_COLUMNS), ALL_NULL, F.lit(1)))]
     for key in keys:
         nulls = F.col("_rows") - seen[key]
-        entries.append(F.when(~empty & (nulls > 0), _struct(F.lit(key), "NULL_KEY", nulls)))
+        entries.append(F.when(~empty & (nulls > 0), _struct(F.lit(key), NULL_KEY, nulls)))
     for name in required:
-        entries.append(F.when(~empty & (seen[name] == 0), _struct(F.lit(name), "COLUMN ALL NULL", F.col("_rows"))))
+        entries.append(F.when(~empty & (seen[name] == 0), _struct(F.lit(name), COLUMN_ALL_NULL, F.col("_rows"))))
     flat = profile.select(filename.alias("filename"), F.explode(F.array_compact(F.array(*entries))).alias("_e"))
     return flat.select(F.lit(table).alias("table_name"), "filename", F.lit(None).cast("long").alias("line_id"), "_e.*")
 
@@ -58,7 +63,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], table: str, filename: Col
     groups = ([by] if by else []) + list(keys)
     counted = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     name = filename if filename is not None else F.lit(None).cast("string")
-    return counted.select(*_row(table, name, F.lit(",".join(keys)), "DUPLICATE_KEY", F.col("_c")))
+    return counted.select(*_row(table, name, F.lit(",".join(keys)), DUPLICATE_KEY, F.col("_c")))
 
 
 def null_lines(df: DataFrame, required: Sequence[str], table: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.files import INVALID_NAME_DATE, base_name, decoded, has_date, name_error, name_glob, name_parts, stem
 from tidegate.functions.settings import delimiter, header_mode, tolerance_column
@@ -26,15 +27,20 @@ from tidegate.operators.quality import check_profile, column_profile, duplicate_
 from tidegate.operators.shape import column, fill_columns, missing_column_errors, missing_columns
 from tidegate.rules import CSV_FORMATS, FORMATS, ColumnRule, TableRule, compare_column, for_table, merge_keys, ordered
 from tidegate.session import BROADCAST_LIMIT, broadcast_if_small, measured_bytes, row_bytes, sized, staged
-from tidegate.sinks.catalog import register_table
+from tidegate.sinks.catalog import register_stored
+from tidegate.sinks.ledger import Change, Ledger, is_absent, ledger_path, new_load
 from tidegate.sinks.logs import append_log, execution_rows, quality_rows, run_row
-from tidegate.sinks.tables import (PARTITIONS, CurrentTable, balanced, is_absent, output_path, partition_types, read_table, stamp, without,
-                                   write_partitioned)
-from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, file_heads, names_of_head, read_files
-from tidegate.sources.discovery import empty_files, list_files
+from tidegate.sinks.schema import evolved
+from tidegate.sinks.tables import PARTITIONS, CurrentTable, StoredTable, balanced, output_path, partition_types, stamp, without
+from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, Fresh, file_heads, judged, read_files
+from tidegate.sources.discovery import empty_files, file_identity, list_files
 from tidegate.sources.lines import LINE, count_splits, split_offsets, with_line_id
 
+# Error code of a refused row, and how the log words why a table or a file is not loaded.
 INVALID_ROW = "INVALID_ROW"
+NO_FILE = "No file matched"
+BAD_DELIMITER = "Delimiter error"
+TOO_CORRUPT = "Too many corrupted lines (%d > %s)"
 
 
 @dataclass(frozen=True)
@@ -47,6 +53,8 @@ class Layout:
     version: str = "v1"
     database: str | None = None
     fmt: str = "parquet"
+    # Leave out files that an earlier load of the table has taken: same path, length and time of change.
+    once: bool = False
 
     @property
     def execution_log(self) -> str:
@@ -104,7 +112,7 @@ def setting_error(rule: TableRule, rules: Sequence[ColumnRule]) -> str | None:
     try:
         delimiter(rule.delimiter)
     except ValueError as error:
-        return f"Delimiter error: {error}"
+        return f"{BAD_DELIMITER}: {error}"
     if mode_action(rule.ingestion_mode)[0] in NEEDS_KEYS and not merge_keys(rules):
         return f"{rule.ingestion_mode} needs merge keys"
     return None
@@ -132,8 +140,19 @@ def _load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule
         aside = others.select(*line(F.col("name"), F.lit(f"Not selected, {name} comes first"), "SKIPPED"))
     else:
         aside = None
+    files, fresh = staged(file_identity(spark, path, glob), "files"), None
+    if layout.once:
+        ledger = Ledger(spark, ledger_path(layout.table(rule, "all")))
+        fresh = staged(files.join(ledger.loaded_files(), [f.name for f in files.schema], "left_anti"), "fresh")
+        seen = fresh.agg(F.count("*").alias("n"), F.min("modified").alias("since")).first()
+        old = files.join(fresh.select(FILE), FILE, "left_anti")
+        old = old.select(*line(base_name(decoded(F.col(FILE))), F.lit("Already loaded"), "SKIPPED"))
+        aside = old if aside is None else append(aside, old)
+        if not seen["n"]:
+            return staged(aside, "aside")
+        files, fresh = fresh, Fresh(sized(fresh.select(FILE)), seen["since"])
     if rule.input_format in CSV_FORMATS and header_mode(rule.header) != "none" and (glob or source):
-        raw, refused = _read_by_header(spark, rule, rules, path, glob)
+        raw, refused = _read_by_header(spark, rule, rules, path, glob, fresh)
         refused_name = base_name(decoded(F.col(FILE)))
         lost = refused.select(F.lit(rule.table_name).alias("table_name"), refused_name.alias("filename"), F.col(FILE).alias("uri"),
                               F.explode("lost").alias("column_name"), F.lit("MISSING_COLUMN").alias("error_type"))
@@ -144,7 +163,7 @@ def _load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule
             return aside
     else:
         try:
-            raw = read_files(spark, path, rule, rules, glob)
+            raw = read_files(spark, path, rule, rules, glob, fresh=fresh)
         except ValueError as error:
             return failure(str(error), name)
         lost = missing_columns(raw, names)
@@ -154,12 +173,17 @@ def _load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule
             return failure(f"Missing columns {lost} in the file", name)
     raw = fill_columns(raw, names)
 
-    load = _Load(spark, rule, rules, layout, at, raw)
+    load, load_id = _Load(spark, rule, rules, layout, at, raw), new_load()
     errors = load.quality_errors()
     named = errors.join(load.verdicts.select(FILE, "filename"), FILE).withColumn("uri", F.col(FILE))
+    changes = load.write_tables(load_id)
     append_log(quality_rows(named, rule.table_name, rule.zone, layout.env, at), layout.quality_log, fmt=layout.fmt)
     load.write_quarantine()
-    load.write_tables()
+    if changes:
+        load.history.ledger.note_files(files.join(load.accepted.select(FILE), FILE, "left_semi"), load_id)
+        # Up to here nothing of the load can be seen in its tables; this row shows all of it.
+        load.history.ledger.commit(load_id, changes)
+        load.register()
 
     counted = errors.groupBy(FILE).agg(F.count(F.lit(1)).alias("error_count"))
     runs = load.verdicts.join(counted, FILE, "left").select(
@@ -175,37 +199,48 @@ def _load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule
 
 
 def _read_by_header(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule], path: str,
-                    glob: str | None) -> tuple[DataFrame | None, DataFrame]:
+                    glob: str | None, fresh: Fresh | None = None) -> tuple[DataFrame | None, DataFrame]:
     """The files whose header fits, and (_file, why, lost) of the others.
 
-    First lines are found by a scan. Only the distinct ones, a handful, come to the driver; each is judged once, and
-    each that fits is read under its own names.
+    Headers are judged where they are. The driver learns how many columns the fitting files have, how many orders of them
+    there are, and which columns there are beside the configured ones. Files of one width are read by one scan, by
+    position; where their orders differ, a table of one row per file says which position holds which column.
     """
     names = [r.column_name for r in rules]
-    heads = staged(file_heads(spark, path, rule, glob), "heads")
-    fitting, bad, whole = [], [], F.lit(False)
-    for head in [r["head"] for r in heads.select("head").distinct().collect()]:
-        found = names_of_head(spark, rule, head)
-        lost = [] if header_mode(rule.header) == "skip" else [c for c in names if c.lower() not in {f.lower() for f in found}]
-        if header_mode(rule.header) == "skip" and len(found) != len(names):
-            bad.append((head, f"{rule.table_name}: {len(names)} columns configured, {len(found)} in the file", []))
-        elif lost and not rule.delete_columns_allowed:
-            bad.append((head, f"Missing columns {lost} in the file", lost))
-        else:
-            fitting.append((head, found))
-    refused = heads.join(F.broadcast(spark.createDataFrame(bad, "head string, why string, lost array<string>")), "head").select(FILE, "why", "lost")
-    by_names: dict[tuple, list[str]] = {}
-    for head, found in fitting:
-        by_names.setdefault(tuple(found) if header_mode(rule.header) == "names" else (), []).append(head)
+    by_name = header_mode(rule.header) == "names"
+    heads = staged(judged(file_heads(spark, path, rule, glob, fresh), rule, names), "heads")
+    refused, fitting = heads.filter("why IS NOT NULL").select(FILE, "why", "lost"), heads.filter("why IS NULL")
+    widths = fitting.groupBy("width").agg(F.count_distinct("names").alias("orders"), F.min("names").alias("names")).orderBy("width").collect()
+    alone = len(widths) == 1 and (not by_name or widths[0]["orders"] == 1) and refused.isEmpty()
     raw = None
-    for found, lines in by_names.items():
-        part = read_files(spark, path, rule, rules, glob, found)
-        if bad or len(by_names) > 1:
-            part = part.join(sized(heads.filter(F.col("head").isin(lines)).select(FILE)), FILE, "left_semi")
+    for found in widths:
+        files = fitting.filter(F.col("width") == found["width"])
+        given = [f"_c{i}" for i in range(found["width"])] if by_name else []
+        part = read_files(spark, path, rule, rules, glob, given, fresh)
+        if by_name and found["orders"] > 1:
+            part = reordered(part, files, names)
+        else:
+            part = part.toDF(*found["names"], *part.columns[found["width"]:]) if by_name else part
+            part = part if alone else part.join(sized(files.select(FILE)), FILE, "left_semi")
         raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
     return raw, refused
 
 
+def reordered(part: DataFrame, files: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Columns by name out of rows read by position, for files with the same columns in different orders."""
+    known = {n.lower() for n in names}
+    listed = files.select(F.explode("names").alias("name"))
+    more = listed.groupBy(F.lower("name").alias("low")).agg(F.min("name").alias("name")).filter(~F.col("low").isin(sorted(known))).orderBy("low")
+    wanted = [*names, *[r["name"] for r in more.collect()]]
+    low = F.transform("names", F.lower)
+    # array_position counts from 1 and gives 0 for a column that the file lacks.
+    places = F.array(*[F.nullif(F.array_position(low, n.lower()), F.lit(0)) - 1 for n in wanted]).cast("array<int>")
+    cells = [c for c in part.columns if c not in (*LINEAGE, CORRUPT)]
+    rows = part.join(sized(staged(files.select(FILE, places.alias("_places")), "places")), FILE)
+    packed = rows.select(F.array(*[column(c) for c in cells]).alias("_cells"), "_places", CORRUPT, *LINEAGE)
+    return packed.select(*[F.get("_cells", F.get("_places", F.lit(i))).alias(n) for i, n in enumerate(wanted)], CORRUPT, *LINEAGE)
+
+
 def base_of(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
@@ -220,9 +255,9 @@ def _pick_files(spark: SparkSession, rule: TableRule, inbox: str) -> tuple[str,
     except AnalysisException as error:
         if not is_absent(error):
             raise
-        return f"No file matched {rule.filename_pattern}"
+        return f"{NO_FILE} {rule.filename_pattern}"
     if seen["name"] is None:
-        return f"No file matched {rule.filename_pattern}"
+        return f"{NO_FILE} {rule.filename_pattern}"
     return (inbox, glob, seen["name"]) if rule.merge_files else (seen["path"], None, seen["name"])
 
 
@@ -232,6 +267,8 @@ class _Load:
     def __init__(self, spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule], layout: Layout,
                  at: datetime, raw: DataFrame):
         self.spark, self.rule, self.rules, self.layout, self.at = spark, rule, rules, layout, at
+        self.history = StoredTable(spark, layout.table(rule, "all"), layout.fmt).held()
+        self.current = CurrentTable(spark, layout.table(rule, "last"), layout.fmt).held()
         self.data = [c for c in raw.columns if c not in (*LINEAGE, CORRUPT)]
         self.keys, self.compare = merge_keys(rules), compare_column(rules)
         self.typed = staged(cleanse(raw, rules, trim=rule.trim), "typed")
@@ -262,7 +299,7 @@ class _Load:
         bad_name = name_error(decoded(F.col(FILE))) if has_date(self.rule.filename_pattern) else F.lit(None)
         reason = (
             F.when(bad_name == INVALID_NAME_DATE, bad_name)
-            .when(F.col("_corrupt") > allowed, F.format_string("Too many corrupted lines (%d > %s)", "_corrupt",
+            .when(F.col("_corrupt") > allowed, F.format_string(TOO_CORRUPT, "_corrupt",
                                                                F.round(allowed, 2).cast("string")))
             .when(stop.isNotNull(), F.concat(F.lit("ICT_DRIVEN_ABORT on "), stop))
         )
@@ -347,35 +384,49 @@ class _Load:
                        F.lit(self.at).alias("log_ts")).write.mode("append").parquet(
                 self.layout.quarantine(self.rule.table_name))
 
-    def _stamped(self, existing: DataFrame | None) -> DataFrame:
+    def _stamped(self, existing: T.StructType | None) -> DataFrame:
         dated = {p: F.col(f"_{p}") for p in PARTITIONS}
         stamped = stamp(self.rows, dated, F.col("_stem"), self.at, partition_types(existing))
         return without(stamped, "_stem", *[f"_{p}" for p in PARTITIONS])
 
-    def write_tables(self) -> None:
-        """Append to history, then bring the current table to its new state. Without an accepted file nothing changes."""
-        fmt, history = self.layout.fmt, self.layout.table(self.rule, "all")
+    def write_tables(self, load_id: str) -> dict[str, Change]:
+        """Write what the load adds to history and the current table's new state, neither visible before the load is
+        committed. Without an accepted file nothing changes; columns that do not fit the stored ones end the load first."""
         totals = self.accepted.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("_bytes"), F.lit(0)).alias("size"),
                                    F.count_distinct(*[F.coalesce(f"_{p}", F.lit(0)) for p in PARTITIONS]).alias("days")
                                    ).first()
         if not totals["files"]:
-            return
+            return {}
         # Files of one day fill one partition. Several days are first put together by day, or each task
         # would write a small file for each of them.
         spread = balanced if totals["days"] > 1 else (lambda df: df)
-        write_partitioned(spread(without(self._stamped(read_table(self.spark, history, fmt, merge=False)), FILE)), history, fmt=fmt)
-        current = CurrentTable(self.spark, self.layout.table(self.rule, "last"), fmt)
-        target = current.read()
-        batch = self._stamped(target)
+        history, current = self.history, self.current
+        added = without(self._stamped(history.columns()), FILE)
+        history_columns = history.accepts(added.schema)
         action, _ = mode_action(self.rule.ingestion_mode)
-        if action == "append":
-            location = current.append(spread(without(batch, FILE)))
-        else:
-            state = apply_mode(self.rule.ingestion_mode, target, batch, self.keys, self.compare or PROCESS_DATE,
-                               (FILE, LINE), totals["size"])
-            # A shuffled join leaves every day in all tasks.
-            joined = target is not None and action != "snapshot" and totals["size"] > BROADCAST_LIMIT
-            location = current.replace(balanced(state) if joined else spread(state))
+        batch = self._stamped(current.columns())
+        columns = None if action == "snapshot" else current.accepts(without(batch, FILE).schema)
+        target, kept = None, None if action == "append" else []
+        if action in NEEDS_KEYS and current.content() is not None:
+            stored, live = current.content()
+            if action == "merge":
+                # A merge fills the columns there are; it does not add any.
+                columns = T.StructType([f for f in columns.fields if f.name in stored.names])
+            # Only the days that hold a key of the batch are read and written anew.
+            hit = current.touched(self.keys, batch, totals["size"])
+            kept = [p for p in live if p not in set(hit)]
+            target = current.read(hit, columns)
+        state = without(batch, FILE) if action == "append" else apply_mode(
+            self.rule.ingestion_mode, target, batch, self.keys, self.compare or PROCESS_DATE, (FILE, LINE), totals["size"])
+        # A shuffled join leaves every day in all tasks.
+        joined = target is not None and totals["size"] > BROADCAST_LIMIT
+        changes = {history.name: Change(history_columns, [history.put(spread(added), load_id)], True)}
+        columns = columns or evolved(None, state.schema)
+        return changes | {current.name: current.change((balanced if joined else spread)(state), load_id, columns, kept)}
+
+    def register(self) -> None:
+        """Bring the catalog up to date with what has been committed."""
         if self.layout.database:
-            register_table(self.spark, f"{self.rule.table_name}_all", history, self.layout.database, "ignore")
-            register_table(self.spark, f"{self.rule.table_name}_last", location, self.layout.database, "overwrite")
+            for suffix in ("all", "last"):
+                table = StoredTable(self.spark, self.layout.table(self.rule, suffix), self.layout.fmt)
+                register_stored(table, f"{self.rule.table_name}_{suffix}", self.layout.database)

@@ -26,6 +26,7 @@ COLUMN_HEADINGS = {
     "transformation_pattern": ("Transformation pattern", "transformation_pattern"),
     "regex_replacement": ("Regex replacement", "regex_replacement"),
     "enumeration": ("Enumeration Values", "Enumeration list", "enumeration"),
+    "enumeration_table": ("Enumeration Table", "enumeration_table"),
     "default_invalid": ("Default Value when Invalid", "Default when invalid", "default_invalid"),
     "error_action": ("Error action", "error_action"),
     "tolerance": ("Rejected line per file tolerance", "tolerance"),
@@ -75,6 +76,8 @@ class ColumnRule:
     transformation_pattern: str | None = None
     regex_replacement: str | None = None
     enumeration: tuple[str, ...] = ()
+    # Path of a stored list of allowed values, for lists too long to be written here.
+    enumeration_table: str | None = None
     default_invalid: str | None = None
     error_action: str = "ICT_DRIVEN"
     tolerance: str | None = None
@@ -101,6 +104,7 @@ class ColumnRule:
             transformation_pattern=as_text(given.get("transformation_pattern")),
             regex_replacement=as_text(given.get("regex_replacement")),
             enumeration=tuple(v.strip() for v in listed.split(",") if v.strip()),
+            enumeration_table=as_text(given.get("enumeration_table")),
             default_invalid=as_text(given.get("default_invalid")),
             error_action=action,
             tolerance=as_text(given.get("tolerance")),

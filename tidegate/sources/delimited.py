@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions.settings import delimiter, header_mode
 from tidegate.rules import CSV_FORMATS, ColumnRule, TableRule, ordered
+from tidegate.session import staged
 
 CORRUPT = "_corrupt_record"
 FILE, BLOCK, ROW = "_file", "_block", "_row"
@@ -49,9 +53,31 @@ def with_lineage(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame
     )
 
 
-def csv_reader(spark: SparkSession, rule: TableRule, glob: str | None = None) -> DataFrameReader:
+@dataclass(frozen=True)
+class Fresh:
+    """The files still to be loaded: their paths, of a checked size, and the time of the oldest."""
+
+    files: DataFrame
+    since: datetime
+
+    def narrow(self, df: DataFrame) -> DataFrame:
+        return df.join(self.files, FILE, "left_semi").select(df.columns)
+
+
+def file_reader(spark: SparkSession, glob: str | None = None, fresh: Fresh | None = None) -> DataFrameReader:
+    """Reader of the files below a folder; older ones than any fresh file are left out of the listing."""
+    reader = spark.read
+    if glob:
+        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    if fresh:
+        # The option takes whole seconds of the session's time zone, and files changed after them.
+        reader = reader.option("modifiedAfter", (fresh.since - timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S"))
+    return reader
+
+
+def csv_reader(spark: SparkSession, rule: TableRule, glob: str | None = None, fresh: Fresh | None = None) -> DataFrameReader:
     reader = (
-        spark.read.option("sep", delimiter(rule.delimiter))
+        file_reader(spark, glob, fresh).option("sep", delimiter(rule.delimiter))
         .option("encoding", encoding(rule.charset))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -62,8 +88,6 @@ def csv_reader(spark: SparkSession, rule: TableRule, glob: str | None = None) ->
         reader = reader.option("quote", '"').option("escape", "\\")
     if rule.input_format == "csv_quote_ml":
         reader = reader.option("multiLine", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     return reader
 
 
@@ -72,24 +96,65 @@ def header_names(reader: DataFrameReader, path: str) -> list[str]:
     return reader.option("header", True).csv(path).columns
 
 
-def file_heads(spark: SparkSession, path: str, rule: TableRule, glob: str | None = None) -> DataFrame:
+def file_heads(spark: SparkSession, path: str, rule: TableRule, glob: str | None = None, fresh: Fresh | None = None) -> DataFrame:
     """(_file, head): the first line of each file that is not blank, found by one scan without parsing."""
-    reader = spark.read.option("encoding", encoding(rule.charset))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    reader = file_reader(spark, glob, fresh).option("encoding", encoding(rule.charset))
     lines = with_lineage(reader.text(path), ["value"]).filter(F.trim("value") != "")
+    lines = fresh.narrow(lines) if fresh else lines
     # Lines of a split come in order, so each task passes on one line per split at most.
     return lines.groupBy(FILE).agg(F.min_by("value", F.struct(BLOCK, ROW)).alias("head"))
 
 
-def names_of_head(spark: SparkSession, rule: TableRule, head: str) -> list[str]:
-    """Column names a header line stands for."""
-    return csv_reader(spark, rule).option("header", True).csv(spark.sparkContext.parallelize([head], 1)).columns
+# The CSV parser takes no more columns than this.
+MOST_COLUMNS = 20_000
+HEAD_END = "\u0001"
+
+
+def head_cells(heads: DataFrame, rule: TableRule) -> DataFrame:
+    """Add ``cells``, the fields of each head as the rule's format cuts them; NULL for an unreadable one.
+
+    A mark behind the last field tells empty fields at the end from fields that are not there.
+    """
+    sep = delimiter(rule.delimiter)
+    width = F.size(F.split("head", re.escape(sep), -1))
+    widest = min(heads.agg(F.coalesce(F.max(width), F.lit(0))).first()[0], MOST_COLUMNS) + 1
+    options = {"sep": sep, "mode": "PERMISSIVE"}
+    if rule.input_format in ("csv_quote", "csv_quote_ml"):
+        options["escape"] = "\\"
+    marked = F.concat("head", F.lit(sep + HEAD_END))
+    cut = F.from_csv(F.when(width <= MOST_COLUMNS, marked), ", ".join(f"_c{i} string" for i in range(widest)), options)
+    return heads.withColumn("_cut", cut).select(*heads.columns, F.array(*[F.col("_cut")[f"_c{i}"] for i in range(widest)]).alias("_all")).select(
+        *heads.columns, F.when(F.array_position("_all", HEAD_END) > 0, F.slice("_all", F.lit(1), (F.array_position("_all", HEAD_END) - 1).cast("int"))).alias("cells"))
+
+
+def safe_names(cells: Column) -> Column:
+    """Column names out of header fields, as Spark makes them: a blank one and one that is repeated get their position."""
+    def name(cell: Column, place: Column) -> Column:
+        again = F.size(F.filter(cells, lambda other: F.lower(other) == F.lower(cell))) > 1
+        return F.when(F.coalesce(cell, F.lit("")) == "", F.concat(F.lit("_c"), place)).when(again, F.concat(cell, place)).otherwise(cell)
+    return F.transform(cells, name)
+
+
+def judged(heads: DataFrame, rule: TableRule, configured: Sequence[str]) -> DataFrame:
+    """(_file, names, width, lost, why): what the header of each file says, and why the file is refused (if it is)."""
+    cut = head_cells(staged(heads, "lines"), rule)
+    named = cut.select(FILE, safe_names(F.col("cells")).alias("names"))
+    width, wanted = F.size("names"), F.array(*[F.lit(c) for c in configured]).cast("array<string>")
+    low = F.transform("names", F.lower)
+    lost = F.filter(wanted, lambda c: ~F.array_contains(low, F.lower(c)))
+    if header_mode(rule.header) == "skip":
+        lost = F.array().cast("array<string>")
+        why = F.when(width != len(configured), F.concat(F.lit(f"{rule.table_name}: {len(configured)} columns configured, "), width, F.lit(" in the file")))
+    else:
+        missing = F.lit(False) if rule.delete_columns_allowed else F.size(lost) > 0
+        why = F.when(missing, F.concat(F.lit("Missing columns ['"), F.array_join(lost, "', '"), F.lit("'] in the file")))
+    unreadable = F.when(F.col("names").isNull(), "Unreadable header")
+    return named.select(FILE, "names", width.alias("width"), F.coalesce(lost, F.array().cast("array<string>")).alias("lost"), F.coalesce(unreadable, why).alias("why"))
 
 
 def read_delimited(spark: SparkSession, path: str, rule: TableRule, columns: Sequence[str],
                    glob: str | None = None, lineage: bool = True, capture_corrupt: bool = True,
-                   header: Sequence[str] | None = None) -> DataFrame:
+                   header: Sequence[str] | None = None, fresh: Fresh | None = None) -> DataFrame:
     """All files of one table as text columns, plus the corrupt line (if any) and the row lineage.
 
     ``names`` headers keep the order of the file, ``skip`` headers and headerless files take the
@@ -100,7 +165,7 @@ def read_delimited(spark: SparkSession, path: str, rule: TableRule, columns: Seq
     names = list(header if header is not None and mode == "names" else columns)
     # Names taken from one file are checked against the header of every other file.
     checked = mode == "names" and header is None
-    reader = csv_reader(spark, rule, glob).option("header", mode != "none").option("enforceSchema", not checked)
+    reader = csv_reader(spark, rule, glob, fresh).option("header", mode != "none").option("enforceSchema", not checked)
     if mode != "none" and header is None:
         found = header_names(csv_reader(spark, rule, glob), path)
         if mode == "names":
@@ -115,12 +180,9 @@ def read_delimited(spark: SparkSession, path: str, rule: TableRule, columns: Seq
 
 
 def read_fixed_width(spark: SparkSession, path: str, rule: TableRule, rules: Sequence[ColumnRule],
-                     glob: str | None = None, lineage: bool = True) -> DataFrame:
+                     glob: str | None = None, lineage: bool = True, fresh: Fresh | None = None) -> DataFrame:
     """Lines cut at the cumulative column sizes."""
-    reader = spark.read.option("encoding", encoding(rule.charset))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    lines = reader.text(path)
+    lines = file_reader(spark, glob, fresh).option("encoding", encoding(rule.charset)).text(path)
     names = [r.column_name for r in rules]
     if lineage:
         lines = with_lineage(lines, ["value"])
@@ -139,13 +201,15 @@ def slices(line: Column, rules: Sequence[ColumnRule]) -> list[Column]:
 
 
 def read_files(spark: SparkSession, path: str, rule: TableRule, rules: Sequence[ColumnRule],
-               glob: str | None = None, header: Sequence[str] | None = None) -> DataFrame:
-    """Read by the configured input format."""
+               glob: str | None = None, header: Sequence[str] | None = None, fresh: Fresh | None = None) -> DataFrame:
+    """Read by the configured input format; only the fresh files if these are given."""
     if rule.input_format == "fixed":
-        return read_fixed_width(spark, path, rule, rules, glob)
-    if rule.input_format not in CSV_FORMATS:
+        df = read_fixed_width(spark, path, rule, rules, glob, fresh=fresh)
+    elif rule.input_format in CSV_FORMATS:
+        df = read_delimited(spark, path, rule, [r.column_name for r in ordered(rules)], glob, header=header, fresh=fresh)
+    else:
         raise ValueError(f"Unsupported format {rule.input_format}")
-    return read_delimited(spark, path, rule, [r.column_name for r in ordered(rules)], glob, header=header)
+    return fresh.narrow(df) if fresh else df
 
 
 def _finish(df: DataFrame, rule: TableRule, names: list[str], lineage: bool) -> DataFrame:

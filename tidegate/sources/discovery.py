@@ -24,6 +24,12 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     return files.select("path", base_name(F.col("path")).alias("name"), "length")
 
 
+def file_identity(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """(_file, length, modified) of the files that hold data, under the paths a scan gives them."""
+    kept = folder_frame(spark, folder, glob).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return kept.toDF("_file", "length", "modified")
+
+
 def empty_files(spark: SparkSession, folder: str, glob: str | None = None) -> int:
     """Number of files without content. A scan skips these, the listing behind it does not."""
     files = folder_frame(spark, folder, glob)
