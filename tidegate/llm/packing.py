@@ -26,14 +26,13 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.frames import map_arrow, texts
-from tidegate.llm.words import LOWER, Memo, Words, buffers, byte_table, pieces
+from tidegate.llm.words import LOWER, Memo, Words, buffers, byte_table, coded_by_run, gathered, pieces, within
 
 CAPACITY = 4096
 # Documents shorter than this part of the capacity are filler from the start.
@@ -98,28 +97,10 @@ class Coder:
         data, offsets = buffers(column)
         # An added token is found before the text is cut up.
         if self.by_run and not any(a in data.tobytes().lower() for a in self.added):
-            return self.ids_by_run(data, offsets)
+            return coded_by_run(Runs(data, offsets), self.memo, self.dtype, self.end)
         coded = [b + self.end for b in self.pack_all([t or "" for t in column.to_pylist()])]
         return np.frombuffer(b"".join(coded), self.dtype), np.array([len(b) for b in coded], np.int64) // len(self.end)
 
-    def ids_by_run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        runs = Runs(data, offsets)
-        # Each distinct run is looked up or encoded once; the rest is copying.
-        code, distinct = pd.factorize(runs.hashes())
-        sample = np.empty(len(distinct), np.int64)
-        sample[code[::-1]] = np.arange(len(code))[::-1]
-        raw = runs.data.tobytes()
-        words = [raw[a:b].decode() for a, b in zip(runs.start[sample].tolist(), runs.end[sample].tolist())]
-        coded = [*self.memo.values_of([words])[0], self.end] if words else [self.end]
-        size = np.array([len(b) for b in coded], np.int64) // len(self.end)
-        flat, place = np.frombuffer(b"".join(coded), self.dtype), within(size)
-        # The end id is one more run behind each text.
-        code = np.insert(code, runs.first[1:], len(coded) - 1)
-        count = size[code]
-        begin = within(count)
-        out = flat[np.arange(begin[-1]) + np.repeat(place[code] - begin[:-1], count)]
-        return out, np.diff(begin[runs.first + np.arange(len(runs.first))])
-
 
 @lru_cache(maxsize=2)
 def coder(path: str, end_id: int) -> Coder:
@@ -127,11 +108,6 @@ def coder(path: str, end_id: int) -> Coder:
     return Coder(path, end_id)
 
 
-def within(sizes: np.ndarray) -> np.ndarray:
-    """Where each of several neighbours begins, and where the last one ends."""
-    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-
-
 def fill_classes(rest: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(members, class of each sequence, filler): members in sequences of as many as the class says, and what is filler."""
     kind = np.where(rest > 0, capacity // np.maximum(rest, 1), 0)
@@ -205,9 +181,8 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
         while low < len(plan):
             high = max(low + 1, int(np.searchsorted(seen, seen[low] + batch_ids, side="right")) - 1)
             doc, start, length, sequence, offset = plan[low:high].T
-            begin = within(length)
-            at = np.arange(begin[-1]) + np.repeat(base[doc] + start - begin[:-1], length)
-            binary = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer((begin * 4).astype(np.int32)), pa.py_buffer(flat[at].astype("<u4"))])
+            data = gathered(flat, base[doc] + start, length).astype("<u4")
+            binary = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer((within(length) * 4).astype(np.int32)), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(doc)).combine_chunks(), pa.array(start), pa.array(length), binary, pa.array(lengths[doc]), pa.array(number + sequence), pa.array(offset)],
                 names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])

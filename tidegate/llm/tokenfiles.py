@@ -10,8 +10,8 @@ sorted there. A task encodes its shard and writes ids and lengths; the bases are
 own and then renamed, so a task that is run again, even at the same time, does no harm. Readers map the files.
 
 Encoding is the tokenizers library's. A byte-level model with the usual word pattern never joins what lies on both sides
-of the border between a visible character and a blank, so what each run of characters gave is remembered (a bounded
-memo). Texts with other white space, or with the text of an added token, are encoded as a whole.
+of the border between a visible character and a blank, so every distinct run of characters of a piece of texts is encoded once,
+and what it gave is remembered (a bounded memo). Texts with other white space, or with the text of an added token, are encoded as a whole.
 
 Defined cases: null is an empty text; an empty text has only the end id; null document ids come first; equal ids stand
 together, ordered by text; an empty table makes a corpus without shards.
@@ -21,66 +21,97 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegate.llm.frames import arrow_batch, map_arrow, texts
-from tidegate.llm.words import Memo, chunks
+from tidegate.llm.words import Memo, Words, buffers, byte_table, coded_by_run, gathered, pieces, within
 from tidegate.session import fresh_path
 
-# A run of letters ends before punctuation, where the word pattern cuts, too; any other run ends before a blank.
-RUN = re.compile(r"[ \n]*[a-zA-ZÀ-ÖØ-öø-ÿ]+(?![^ \n.,!?;:|])|[ \n]*[^ \n]+|[ \n]+")
+# A run begins with the blanks before a word, or with punctuation after a letter.
+BLANK = byte_table(b" \n")
+LETTER = byte_table([*range(0x41, 0x5B), *range(0x61, 0x7B)])
+POINT = byte_table(b".,!?;:|")
 # White space of any kind but the blank and the line feed.
 OTHER_BLANKS = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"]
-READ_ROWS = 4096
+READ_ROWS, PIECE_BYTES, MEMO_RUNS = 4096, 4 << 20, 500_000
+
+
+class Runs(Words):
+    """Runs of characters that are encoded independently; together they are the texts."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        inside, begins = ~BLANK[data], np.zeros(len(data), bool)
+        begins[1:] = (inside[:-1] & ~inside[1:]) | (LETTER[data[:-1]] & POINT[data[1:]])
+        begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+        self.data, self.start = data, np.flatnonzero(begins)
+        self.end = np.append(self.start[1:], len(data)) if len(self.start) else self.start
+        self.first = np.searchsorted(self.start, offsets)
 
 
 class Encoder:
-    """Ids of texts as packed integers."""
+    """Ids of texts, each followed by the end id, as unsigned integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = 0):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.dtype = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.kind = "H" if self.dtype == "<u2" else "I"
+        self.end = array(self.kind, [end_id]).tobytes()
         rules = json.loads(self.tokenizer.to_str())
         before = rules.get("pre_tokenizer") or {}
         self.by_run = (rules.get("normalizer") is None and before.get("type") == "ByteLevel"
                        and before.get("use_regex") and not before.get("add_prefix_space"))
         # Texts with any of these are encoded as a whole.
-        self.whole = [*OTHER_BLANKS, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
-        self.memo = Memo(self.pack_all)
+        self.whole = [w.encode() for w in (*OTHER_BLANKS, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values()))]
+        self.memo = Memo(self.pack_all, MEMO_RUNS)
 
     def pack_all(self, runs: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
         return [array(self.kind, e.ids).tobytes() for e in coded]
 
-    def pack_each(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Packed ids of each text."""
-        for chunk in chunks(texts):
-            runs = [RUN.findall(t) if self.by_run and not any(w in t for w in self.whole) else None for t in chunk]
-            found = iter(self.memo.values_of([r for r in runs if r is not None]))
-            for text, cut in zip(chunk, runs):
-                yield self.pack_all([text])[0] if cut is None else b"".join(next(found))
+    def odd_texts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts have to be encoded as a whole."""
+        odd = np.full(len(offsets) - 1, not self.by_run)
+        raw = data.tobytes() if self.by_run else b""
+        for mark in self.whole:
+            at = raw.find(mark)
+            while at >= 0:
+                i = int(np.searchsorted(offsets, at, side="right")) - 1
+                odd[i] = True
+                at = raw.find(mark, int(offsets[i + 1]))
+        return odd
+
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column, one after another, and how many each text has; null counts as empty."""
+        odd = self.odd_texts(*buffers(column))
+        plain, counts = coded_by_run(Runs(*buffers(column.filter(pa.array(~odd)))), self.memo, self.dtype, self.end)
+        if not odd.any():
+            return plain, counts
+        coded = [b + self.end for b in self.pack_all([t or "" for t in column.filter(pa.array(odd)).to_pylist()])]
+        sizes = np.empty(len(odd), np.int64)
+        sizes[~odd], sizes[odd] = counts, [len(b) // len(self.end) for b in coded]
+        start = np.empty(len(odd), np.int64)
+        start[~odd], start[odd] = within(counts)[:-1], len(plain) + within(sizes[odd])[:-1]
+        return gathered(np.concatenate([plain, np.frombuffer(b"".join(coded), self.dtype)]), start, sizes), sizes
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, end_id: int) -> Encoder:
     """One encoder per Python worker."""
-    return Encoder(path)
+    return Encoder(path, end_id)
 
 
 def place(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -114,31 +145,32 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> dict:
     spark = docs.sparkSession
 
     def encode(batches):
-        coder, shard = encoder(tokenizer), TaskContext.get().partitionId()
-        end = np.array([end_id], dtype=coder.dtype).tobytes()
-        width, lengths, ids = len(end), [], []
+        coder, shard = encoder(tokenizer, end_id), TaskContext.get().partitionId()
+        counts, ids = [], []
 
         def packed():
             for batch in batches:
-                ids.append(batch.column(0))
-                for data in coder.pack_each(batch.column(1).to_pylist()):
-                    data += end
-                    lengths.append(len(data) // width)
-                    yield data
+                for part in pieces(batch, limit=PIECE_BYTES):
+                    flat, sizes = coder.ids(part.column(1))
+                    ids.append(part.column(0))
+                    counts.append(sizes)
+                    yield flat.tobytes()
 
         first = next(stream := packed(), None)
         if first is None:
             return
-        put(folder, f"ids-{shard:06d}.bin", _joined(first, stream))
-        put(folder, f"lengths-{shard:06d}.bin", [np.array(lengths, "<u8").tobytes()])
+        put(folder, f"ids-{shard:06d}.bin", chain([first], stream))
+        lengths = np.concatenate(counts)
+        put(folder, f"lengths-{shard:06d}.bin", [lengths.astype("<u8").tobytes()])
         table = pa.table({"doc_id": pa.chunked_array(ids)})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_file(sink, table.schema) as out:
             out.write_table(table)
         put(folder, f"docs-{shard:06d}.arrow", [sink.getvalue()])
-        yield arrow_batch(shard=pa.array([shard], pa.int64()), docs=pa.array([len(lengths)], pa.int64()), ids=pa.array([sum(lengths)], pa.int64()))
+        yield arrow_batch(shard=pa.array([shard], pa.int64()), docs=pa.array([len(lengths)], pa.int64()), ids=pa.array([int(lengths.sum())], pa.int64()))
 
-    ordered = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that share an id are told apart by the beginning of their text, so that they need not be one task's.
+    ordered = texts(docs).repartitionByRange(F.col("doc_id"), F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     # One row per shard comes to the driver.
     shards = sorted(map(tuple, map_arrow(ordered, encode, "shard long, docs long, ids long").collect()))
     bases = [0, *accumulate(ids for _, _, ids in shards)]
@@ -154,24 +186,12 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> dict:
 
     if shards:
         map_arrow(spark.range(0, len(shards), 1, len(shards)), finish, "id long").write.format("noop").mode("overwrite").save()
-    manifest = {"width": Encoder(tokenizer).dtype, "end_id": end_id, "total": bases[-1],
+    manifest = {"width": Encoder(tokenizer, end_id).dtype, "end_id": end_id, "total": bases[-1],
                 "shards": [{"shard": s, "docs": d, "ids": n, "base": b} for (s, d, n), b in zip(shards, bases)]}
     put(folder, "manifest.json", [json.dumps(manifest).encode()])
     return manifest
 
 
-def _joined(first: bytes, rest):
-    """Small pieces joined to larger writes."""
-    held, size = [first], len(first)
-    for piece in rest:
-        held.append(piece)
-        size += len(piece)
-        if size > 1 << 20:
-            yield b"".join(held)
-            held, size = [], 0
-    yield b"".join(held)
-
-
 def read(spark: SparkSession, folder: str, id_type: str = "bigint") -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files; one task per shard."""
     manifest = json.loads(get(folder, "manifest.json").to_pybytes())

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 # Texts are handled in pieces of about so many bytes, which bounds the temporary arrays of a Python worker.
@@ -187,3 +188,32 @@ class Memo(dict):
         for i in holes:
             found[i] = [fresh[w] if v is None else v for w, v in zip(lists[i], found[i])]
         return found
+
+
+def within(sizes: np.ndarray) -> np.ndarray:
+    """Where each of several neighbours begins, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one after another."""
+    begin = within(size)
+    return flat[np.arange(begin[-1]) + np.repeat(start - begin[:-1], size)]
+
+
+def coded_by_run(runs: Words, memo: Memo, dtype: str, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Packed values of all texts, one after another, each followed by `end`, and how many values each text has.
+
+    Every distinct run of characters is looked up, or computed, once; the rest is copying.
+    """
+    code, distinct = pd.factorize(runs.hashes())
+    sample = np.empty(len(distinct), np.int64)
+    sample[code[::-1]] = np.arange(len(code))[::-1]
+    raw = runs.data.tobytes()
+    words = [raw[a:b].decode() for a, b in zip(runs.start[sample].tolist(), runs.end[sample].tolist())]
+    coded = [*memo.values_of([words])[0], end] if words else [end]
+    size = np.array([len(b) for b in coded], np.int64) // len(end)
+    flat, place = np.frombuffer(b"".join(coded), dtype), within(size)
+    # The end is one more run behind each text.
+    code = np.insert(code, runs.first[1:], len(coded) - 1)
+    return gathered(flat, place[code], size[code]), np.diff(within(size[code])[runs.first + np.arange(len(runs.first))])
