@@ -33,6 +33,16 @@ def test_equals_brute_force(spark, monkeypatch, hot, shard):
     assert sorted(map(tuple, got.collect()), key=str) == expected(rows())
 
 
+def test_repeated_rows_and_periodic_text(spark, monkeypatch):
+    base = [f"w{i}" for i in range(90)]
+    data = [(2, " ".join(base))] * 2000 + [(1, " ".join(base[5:70])), (3, "la " * 100_000), (4, "x " + "la " * 60), (5, "la li " * 20_000), (6, "li la " * 60 + "z")]
+    got = substrings.deduplicated(spark.createDataFrame(data, "doc_id long, text string").repartition(8)).collect()
+    assert sorted(map(tuple, got), key=str) == expected(data)
+    hashes = np.array([7] * 100_000, np.uint64)
+    anchors, low, high = substrings.anchors_of(hashes)
+    assert len(anchors) == 10 and low[0] == 0 and high[-1] == 100_000 - 50 and (low[1:] == high[:-1] + 1).all()
+
+
 def test_kept_text_and_columns(spark):
     df = substrings.deduplicated(frame(spark, rows()), keep=("doc_id", "text", "row"))
     assert df.columns == ["doc_id", "text", "row", "n_words", "n_removed", "kept_sha256", "kept"]

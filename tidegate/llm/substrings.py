@@ -38,6 +38,8 @@ from tidegate.llm.words import BASE, NOT_BLANK, mix, pieces, shingles, words_of
 WINDOW, GRAM, DEPTH = 50, 8, 64
 HOT = 4000
 SHARD_WORDS = 400_000
+# Most windows of one range of equal anchors.
+RANGE_WINDOWS = 10_000
 # Last window of a range that covers a whole text, whatever its length.
 WHOLE = (1 << 31) - 1
 PLACE_BITS = np.uint64(24)
@@ -59,7 +61,15 @@ def anchors_of(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tu
     place = (low[starts] & np.uint64((1 << 24) - 1)).astype(np.int64)
     # Places count modulo 2**24; the anchor lies within the window.
     place = starts + ((place - starts) & ((1 << 24) - 1))
-    return grams[place], starts, np.append(starts[1:], len(low)) - 1
+    # In periodic text the same words are an anchor again and again: neighbouring windows of equal anchors are one range, cut where it
+    # grows long.
+    anchor = grams[place]
+    new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+    anchor, starts = anchor[new], starts[new]
+    count = -(-np.diff(np.append(starts, len(low))) // RANGE_WINDOWS)
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    anchor, starts = np.repeat(anchor, count), np.repeat(starts, count) + step * RANGE_WINDOWS
+    return anchor, starts, np.append(starts[1:], len(low)) - 1
 
 
 class Wavelet:
@@ -178,10 +188,15 @@ def cut_segments(docs: DataFrame, places: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        last = None
         for batch in batches:
             ids, rows, found = batch.column(0), batch.column(1), batch.column(3).to_pylist()
             source, shard, hot, start, words = [], [], [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
+            for i, (key, text) in enumerate(zip(zip(ids.to_pylist(), rows.to_pylist()), batch.column(2).to_pylist())):
+                # Repeated rows follow each other; one of them is cut up.
+                if key == last:
+                    continue
+                last = key
                 split = text.encode("utf-8").split()
                 for place in found[i]:
                     source.append(i)
@@ -193,7 +208,7 @@ def cut_segments(docs: DataFrame, places: DataFrame) -> DataFrame:
             yield arrow_batch(shard=pa.array(shard, pa.int32()), hot=pa.array(hot, pa.bool_()), doc_id=ids.take(at), __row=rows.take(at),
                               start=pa.array(start, pa.int32()), words=pa.array(words, pa.binary()))
 
-    joined = docs.join(places, ["doc_id", "__row"]).select("doc_id", "__row", "text", "found")
+    joined = docs.join(places, ["doc_id", "__row"]).select("doc_id", "__row", "text", "found").sortWithinPartitions("doc_id", "__row")
     return map_arrow(joined, run, f"shard int, hot boolean, doc_id {id_type}, __row long, start int, words binary")
 
 
@@ -263,10 +278,11 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     copies = stored(texts_of.join(same, ["__row", "size"]).where("doc_id > least").select("doc_id", "__row").distinct(), "copies")
     total = shared.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_WORDS))
-    parts = F.ceil(F.col("n") / HOT).cast("int")
-    part = F.pmod(F.xxhash64("doc_id", "__row"), parts)
-    places = (anchors.join(shared.select("anchor", "n"), "anchor")
-              .groupBy("doc_id", "__row").agg(F.collect_list(F.struct(
+    parts = F.greatest(F.ceil(F.col("n") / HOT), F.ceil(F.col("words") / SHARD_WORDS)).cast("int")
+    part = F.pmod(F.xxhash64("doc_id", "__row", "low"), parts)
+    # A set: repeated rows have the same places.
+    places = (anchors.join(shared, "anchor")
+              .groupBy("doc_id", "__row").agg(F.collect_set(F.struct(
                   "low", "high", F.pmod(F.xxhash64("anchor", part), F.lit(shards)).cast("int").alias("shard"), (parts > 1).alias("hot"))).alias("found"))
               .join(copies, ["doc_id", "__row"], "left_anti"))
     searched = stored(search_shards(cut_segments(docs, places)), "repeats")
