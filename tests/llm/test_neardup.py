@@ -53,3 +53,13 @@ def test_components_of_paths_hubs_and_loops(spark):
 
 def test_components_without_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_rows_count_once_in_a_unit(spark):
+    near = [" ".join(f"w{i}" for i in range(100)) + f" {k}" for k in range(3)]
+    data = [(5, near[0])] * 2000 + [(6, near[1]), (7, near[2]), (8, "other words that link with nothing at all")]
+    got = neardup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string").repartition(8)).collect()
+    assert {r.doc_id: (r.component_id, r.kept) for r in got} == {5: (5, True), 6: (5, False), 7: (5, False), 8: (8, True)} and len(got) == len(data)
+    import pyarrow as pa
+    batch = pa.table({"unit": ["u"] * 5, "doc": [1, 1, 1, 2, 2], "side": [0, 0, 0, 0, 0], "text": ["a", "a", "b", "b", "b"]}).to_batches()[0]
+    assert [len(rows) for rows in neardup._consecutive([batch, batch.slice(3)])] == [3]

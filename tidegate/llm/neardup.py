@@ -206,7 +206,7 @@ def confirmed(sets: list[np.ndarray], sides: list[int], percent: int = SIMILAR)
 
 
 def _consecutive(batches):
-    """Rows of equal unit, which follow each other: lists of (doc, side, text)."""
+    """Rows of equal unit, which follow each other: lists of (doc, side, text). Repeated rows follow each other, too, and count once."""
     unit, held = None, []
     for batch in batches:
         for name, doc, side, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -214,7 +214,8 @@ def _consecutive(batches):
                 yield held
                 held = []
             unit = name
-            held.append((doc, side, text))
+            if not held or held[-1] != (doc, side, text):
+                held.append((doc, side, text))
     if held:
         yield held
 
@@ -223,7 +224,7 @@ def confirmed_links(docs: DataFrame, units: DataFrame, percent: int = SIMILAR) -
     """(a, b): links that join whatever is similar within each unit."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     dealt = (units.join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc").select("unit", "doc", "side", "text")
-             .repartition("unit").sortWithinPartitions("unit"))
+             .repartition("unit").sortWithinPartitions("unit", "doc", "side", F.xxhash64("text")))
     kind = docs.schema["doc_id"].dataType
 
     def run(batches):
