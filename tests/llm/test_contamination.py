@@ -23,8 +23,9 @@ def expected(data, tests, size=10):
     for item, text in tests:
         w = words(text)
         n = min(size, len(w))
-        for i in range(len(w) - n + 1) if n and item is not None else ():
-            windows.setdefault(tuple(w[i:i + n]), set()).add(str(item))
+        for i in range(len(w) - n + 1) if n else ():
+            # An item without id hits, but has no place in the list.
+            windows.setdefault(tuple(w[i:i + n]), set()).update([str(item)] if item is not None else [])
     out = []
     for d, text in data:
         w, found = words(text), set()

@@ -10,7 +10,7 @@ that its own postings confirm. All phrases of a segment are intersected together
 of candidates at a time. Proximity works alike with a distance instead of a fixed place.
 
 Defined cases: a null or wordless text has no words and is in no match; phrases do not cross documents; an item without
-words matches nothing, one without id is left out, and items with the same id count as one; a document stored twice is
+words matches nothing, one without id hits but has no place in the list of items, and items with the same id count as one; a document stored twice is
 reported twice.
 """
 
@@ -170,7 +170,7 @@ def near_matches(segment: Segment, keys: np.ndarray, words: np.ndarray, within:
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str):
     """Items in blocks of bounded size: (ids as text, word fingerprints) of each."""
-    known = items.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).dropna()
+    known = items.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).dropna(subset=["text"])
     size = known.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // ITEM_BYTES))
     for block in range(blocks):
@@ -200,7 +200,7 @@ def find_windows(index: DataFrame, items: DataFrame, id_col: str = "item_id", te
                         np.add.at(edge, start + phrases.words.shape[1], -1)
                         pairs = np.unique(segment.document(start) * len(phrases.items) + phrase)
                         for doc, p in zip((pairs // len(phrases.items)).tolist(), (pairs % len(phrases.items)).tolist()):
-                            items_of[doc].update(names[i] for i in phrases.items[p])
+                            items_of[doc].update(names[i] for i in phrases.items[p] if names[i] is not None)
                 hit = np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]])
                 begins = np.flatnonzero(hit[1:-1] & ~hit[:-2])
                 ends = np.flatnonzero(hit[1:-1] & ~hit[2:]) + 1
