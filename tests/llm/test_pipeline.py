@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tests.llm.corpus import least_components
 from tests.llm.test_contamination import words
 from tests.llm.test_neardup import shingle_set
 from tests.llm.test_substrings import expected as cut
@@ -19,10 +20,9 @@ def test_stages_one_by_one(spark):
     good, single, short, clean = kept
     assert all(q for d, q in labels.items() if d in good) and all(d in good for d, q in labels.items() if q)
     sets = {d: shingle_set(t) for d, t in good.items()}
-    for d in good:
-        like = [o for o in good if 100 * len(sets[d] & sets[o]) >= 85 * len(sets[d] | sets[o]) and sets[d]]
-        assert d in single or min(like) < d
-        assert d not in single or not any(o in single for o in like if o != d)
+    links = [(a, b) for a in good for b in good if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= corpus_pipeline.NEAR * len(sets[a] | sets[b])]
+    part = least_components(good, links)
+    assert set(single) == {d for d in good if part.get(d, d) == d} and len(single) < len(good)
     removed = {r[0]: r[2] for r in cut(list(single.items()))}
     assert all((d in short) == (removed[d] == 0 or removed[d] < len(t.split())) and (removed[d] or short[d] == t) for d, t in single.items())
     items = [words(r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]

@@ -1,12 +1,9 @@
 import corpus_pipeline
 from tests.llm.corpus import frame, least_components, rows
-from tests.llm.test_contamination import words
 from tests.llm.test_neardup import found, shingle_set
-from tests.llm.test_substrings import expected as cut
 from tidegate.llm import neardup
 
 PAIRS = 40
-FOLDER = "/root/testdata/sf0.001"
 
 
 def pairs(shared):
@@ -47,23 +44,3 @@ def test_lower_threshold_reaches_blocks_of_large_groups(spark, monkeypatch):
     part = least_components({d for d, _ in data if d is not None}, links)
     want = sorted(((d, len(s), part.get(d), part.get(d) == d) for d, s in sets), key=str)
     assert found(neardup.near_duplicates(frame(spark, data), 80, 16)) == want
-
-
-def test_stages_one_by_one_at_80_percent(spark):
-    docs, kept = spark.read.parquet(f"{FOLDER}/documents.parquet"), []
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.staged(stage(spark, docs, FOLDER), name)
-        kept.append({r["doc_id"]: r["text"] for r in docs.collect()})
-    good, single, short, clean = kept
-    sets = {d: shingle_set(t) for d, t in good.items()}
-    links = [(a, b) for a in good for b in good if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
-    assert any(100 * len(sets[a] & sets[b]) < 85 * len(sets[a] | sets[b]) for a, b in links)
-    part = least_components(good, links)
-    assert set(single) == {d for d in good if part.get(d, d) == d}
-    removed = {r[0]: r[2] for r in cut(list(single.items()))}
-    assert all((d in short) == (removed[d] == 0 or removed[d] < len(t.split())) for d, t in single.items())
-    items = [words(r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
-    grams = {tuple(w[i:i + min(10, len(w))]) for w in items for i in range(len(w) - min(10, len(w)) + 1)}
-    for d, text in short.items():
-        w = words(text)
-        assert (d in clean) == (not any(tuple(w[i:i + n]) in grams for n in {len(g) for g in grams} for i in range(len(w) - n + 1)))
