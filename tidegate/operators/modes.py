@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions.dates import parse_timestamp, patterns_for
 from tidegate.operators.shape import column
-from tidegate.session import BROADCAST_LIMIT, broadcast_if_small
+from tidegate.session import BROADCAST_LIMIT, broadcast_if_small, staged
 
 # Configured mode -> what it does to the current table.
 MODES = {
@@ -76,6 +76,8 @@ def merge_newest(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]
     loose = batch.filter(~no_null(keys)).select([column(c) for c in columns])
     if target is None:
         return keyed.unionByName(loose)
+    # Three branches read it.
+    keyed = staged(keyed, "newest")
 
     shared = [c for c in target.columns if c in columns]
     small = batch_bytes is not None and batch_bytes <= broadcast_limit

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.settings import tolerance_column
 from tidegate.operators.cleanse import NULL_VALUE
 from tidegate.operators.shape import column
+from tidegate.session import staged
 
 # Error codes of the whole-file checks, and the name that stands for all columns.
 ALL_NULL = "FILE_EMPTY_OR_ALL_NULL"
@@ -82,7 +83,8 @@ def check_data_quality(df: DataFrame, table: str, keys: Sequence[str], filename:
     """All whole-file checks of one file in the canonical error columns."""
     data = [c for c in df.columns if c != "line_id" and not c.startswith("_")]
     name = F.lit(filename).cast("string")
-    profile = column_profile(df, data)
+    # One row, read by three checks.
+    profile = staged(column_profile(df, data), "profile")
     checks = check_profile(profile, data, keys, required, table, name)
     counts = {c: F.col(f"_n{i}") for i, c in enumerate(data)}
     # The profile is one row: an all-null file silences the other checks.

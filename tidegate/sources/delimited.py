@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from tidegate.functions.settings import delimiter, header_mode
 from tidegate.rules import CSV_FORMATS, ColumnRule, TableRule, ordered
 from tidegate.session import staged
+from tidegate.sources.multiline import BLOCK, FILE, ROW, records
 
 CORRUPT = "_corrupt_record"
-FILE, BLOCK, ROW = "_file", "_block", "_row"
 LINEAGE = (FILE, BLOCK, ROW)
 
 # Configured charset -> encoding Spark reads; ANSI is Latin-1 with repaired punctuation.
@@ -99,7 +99,11 @@ def header_names(reader: DataFrameReader, path: str) -> list[str]:
 def file_heads(spark: SparkSession, path: str, rule: TableRule, glob: str | None = None, fresh: Fresh | None = None) -> DataFrame:
     """(_file, head): the first line of each file that is not blank, found by one scan without parsing."""
     reader = file_reader(spark, glob, fresh).option("encoding", encoding(rule.charset))
-    lines = with_lineage(reader.text(path), ["value"]).filter(F.trim("value") != "")
+    if by_records(rule):
+        lines = with_lineage(reader.option("lineSep", "\n").text(path), ["value"])
+        lines = records(lines, delimiter(rule.delimiter)).withColumnRenamed("record", "value")
+    else:
+        lines = with_lineage(reader.text(path), ["value"]).filter(F.trim("value") != "")
     lines = fresh.narrow(lines) if fresh else lines
     # Lines of a split come in order, so each task passes on one line per split at most.
     return lines.groupBy(FILE).agg(F.min_by("value", F.struct(BLOCK, ROW)).alias("head"))
@@ -152,6 +156,27 @@ def judged(heads: DataFrame, rule: TableRule, configured: Sequence[str]) -> Data
     return named.select(FILE, "names", width.alias("width"), F.coalesce(lost, F.array().cast("array<string>")).alias("lost"), F.coalesce(unreadable, why).alias("why"))
 
 
+def by_records(rule: TableRule) -> bool:
+    """Whether files of values with line breaks can be cut by their lines: not where a line feed is more than one byte."""
+    return rule.input_format == "csv_quote_ml" and not encoding(rule.charset).startswith(("UTF-16", "UTF16", "UTF-32", "UTF32"))
+
+
+def read_records(spark: SparkSession, path: str, rule: TableRule, names: Sequence[str], glob: str | None = None,
+                 fresh: Fresh | None = None, corrupt: bool = True) -> DataFrame:
+    """Quoted values with line breaks, by many tasks per file: text columns, the corrupt record (if any) and the lineage."""
+    reader = file_reader(spark, glob, fresh).option("encoding", encoding(rule.charset)).option("lineSep", "\n")
+    cut = records(with_lineage(reader.text(path), ["value"]), delimiter(rule.delimiter))
+    if header_mode(rule.header) != "none":
+        # The first record of a file begins in its first split.
+        cut = cut.filter((F.col(BLOCK) > 0) | (F.col(ROW) > 0))
+    options = {"sep": delimiter(rule.delimiter), "quote": '"', "escape": "\\", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxCharsPerColumn": "-1"}
+    parsed = F.from_csv("record", ", ".join(f"_c{i} string" for i in range(len(names))) + f", {CORRUPT} string", options)
+    shown = [F.col("_parsed")[f"_c{i}"].alias(n) for i, n in enumerate(names)]
+    shown += [F.col("_parsed")[CORRUPT].alias(CORRUPT)] if corrupt else []
+    return cut.withColumn("_parsed", parsed).select(*shown, *LINEAGE)
+
+
 def read_delimited(spark: SparkSession, path: str, rule: TableRule, columns: Sequence[str],
                    glob: str | None = None, lineage: bool = True, capture_corrupt: bool = True,
                    header: Sequence[str] | None = None, fresh: Fresh | None = None) -> DataFrame:
@@ -172,6 +197,9 @@ def read_delimited(spark: SparkSession, path: str, rule: TableRule, columns: Seq
             names = found
         elif len(found) != len(names):
             raise ValueError(f"{rule.table_name}: {len(names)} columns configured, {len(found)} in the file")
+    if by_records(rule):
+        df = read_records(spark, path, rule, names, glob, fresh, capture_corrupt)
+        return _repair(df if lineage else df.drop(*LINEAGE), rule, names)
     if capture_corrupt:
         # A pruned parse would keep only the selected fields of a corrupt line.
         reader = reader.option("columnPruning", False)
