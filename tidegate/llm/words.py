@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
 # Texts are handled in pieces of about so many bytes, which bounds the temporary arrays of a Python worker.
@@ -206,6 +205,9 @@ def coded_by_run(runs: Words, memo: Memo, dtype: str, end: bytes) -> tuple[np.nd
 
     Every distinct run of characters is looked up, or computed, once; the rest is copying.
     """
+    # Here and not above, so that workers of other operators do without it.
+    import pandas as pd
+
     code, distinct = pd.factorize(runs.hashes())
     sample = np.empty(len(distinct), np.int64)
     sample[code[::-1]] = np.arange(len(code))[::-1]
