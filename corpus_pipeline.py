@@ -19,7 +19,7 @@ from tidegate.session import staged
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Percent of shared word shingles from which documents are near-duplicates, and the minhash collections that takes.
 NEAR, NEAR_GROUPS = 80, 16
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 # SQL cannot express the trained classifier; tests compare the stages with brute force.
 ORACLE_SQL = None
 

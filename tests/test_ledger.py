@@ -132,6 +132,17 @@ def test_a_changed_file_is_a_new_one_and_a_refused_one_comes_again(spark, put, l
     assert rows_of(spark, layout, rule, "all", "id") == [1, 1, 2]
 
 
+def test_a_load_deletes_what_it_staged(spark, put, layout, tmp_path, monkeypatch):
+    import tidegate.session as session
+
+    made = str(tmp_path / "work")
+    monkeypatch.setattr(session, "work_dir", lambda spark: made)
+    put("site_20251201.csv", "id,name,day\n1,a,20250101\n")
+    log = intake.load_table(spark, site(), RULES, layout, AT)
+    assert [n.split("-")[0] for n in os.listdir(made)] == ["runs"] and log.first()["status"] == "SUCCESS"
+    assert rows_of(spark, layout, site(), "last", "id", "name") == [(1, "a")]
+
+
 def test_a_column_of_another_type_fails_before_anything_is_written(spark, put, layout):
     put("site_20251201.csv", "id,name,day\n1,a,20250101\n")
     run(spark, [site()], RULES, layout, AT)

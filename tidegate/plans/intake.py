@@ -26,7 +26,7 @@ from tidegate.operators.modes import NEEDS_KEYS, PROCESS_DATE, append, apply_mod
 from tidegate.operators.quality import check_profile, column_profile, duplicate_keys
 from tidegate.operators.shape import column, fill_columns, missing_column_errors, missing_columns
 from tidegate.rules import CSV_FORMATS, FORMATS, ColumnRule, TableRule, compare_column, for_table, merge_keys, ordered
-from tidegate.session import BROADCAST_LIMIT, broadcast_if_small, measured_bytes, row_bytes, sized, staged
+from tidegate.session import BROADCAST_LIMIT, broadcast_if_small, lasting, measured_bytes, row_bytes, scratch, sized, staged
 from tidegate.sinks.catalog import register_stored
 from tidegate.sinks.ledger import Change, Ledger, is_absent, ledger_path, new_load
 from tidegate.sinks.logs import append_log, execution_rows, quality_rows, run_row
@@ -100,7 +100,9 @@ def load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]
                        error_message=message, status=status, duration=round(time.time() - began, 2))
 
     try:
-        return _load_table(spark, rule, ordered(rules), layout, at, source, common, failure, began)
+        # The typed copy of the input and all else that was staged goes when the load is done.
+        with scratch(spark):
+            return lasting(_load_table(spark, rule, ordered(rules), layout, at, source, common, failure, began), "runs")
     except Exception as error:  # noqa: BLE001  the next table is loaded whatever befell this one
         return failure(f"{type(error).__name__}: {str(error).strip().splitlines()[0] if str(error).strip() else ''}"[:500])
 

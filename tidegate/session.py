@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,13 +66,42 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Folders that the innermost open scratch has to delete; None outside of any.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so that later passes do not recompute it."""
     path = fresh_path(df.sparkSession, label)
+    if _made.get() is not None:
+        _made.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what has been staged meanwhile; for work whose results are written elsewhere by then."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        paths = _made.get()
+        _made.reset(token)
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def lasting(df: DataFrame, label: str) -> DataFrame:
+    """A staged frame that outlives the open scratch."""
+    token = _made.set(None)
+    try:
+        return staged(df, label)
+    finally:
+        _made.reset(token)
+
+
 def row_bytes(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Upper estimate of a row's size in memory: the length of its text plus a fixed share per column."""
     names = set(columns or df.columns)
