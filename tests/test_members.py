@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import values
-from tidegate.operators.aggregates import merged_quantiles, quantile_sketches, row_numbers
+from tidegate.operators.aggregates import dealt_by_range, merged_quantiles, quantile_sketches, row_numbers
 from tidegate.operators.cleanse import cleanse
 from tidegate.operators.members import flag_members, value_list
 from tidegate.rules import ColumnRule
@@ -33,10 +33,14 @@ def test_a_rule_may_name_a_table_of_values(spark, tmp_path):
 
 def test_numbers_of_one_group_come_from_many_tasks(spark):
     df = spark.range(10_000).selectExpr("id", "'x' AS g", "id % 7 AS v").repartition(4)
-    got = row_numbers(df, ["g"], [F.col("v").desc(), F.col("id")], name="n")
+    order = [F.col("v").desc(), F.col("id")]
+    got = row_numbers(df, ["g"], order, name="n")
     rows = sorted(got.collect(), key=lambda r: r["n"])
     assert [(r["v"], r["id"]) for r in rows] == sorted(((i % 7, i) for i in range(10_000)), key=lambda r: (-r[0], r[1])) and [r["n"] for r in rows] == list(range(1, 10_001))
-    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    # Small partitions would be put together.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = [r["count"] for r in dealt_by_range(df, ["g"], order).groupBy(F.shiftright("_at", 33)).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(sizes) > 1 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
 
 

@@ -51,11 +51,7 @@ def range_numbers(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     rows than there are tasks. Rows that are equal in the order are told apart by their place in the stored input, so that no range is
     bound to be large; their own order is arbitrary, as with any ``row_number``.
     """
-    whole = F.struct(F.lit(0).alias("_"), *[column(c).alias(f"g{i}") for i, c in enumerate(group)])
-    stored = staged(df.select("*", whole.alias("_group")), "keyed").withColumn("_nth", F.monotonically_increasing_id())
-    by = [F.col("_group"), *order, F.col("_nth")]
-    dealt = stored.repartitionByRange(*by).sortWithinPartitions(*by)
-    placed = staged(dealt.withColumn("_at", F.monotonically_increasing_id()), "placed")
+    placed = dealt_by_range(df, group, order)
     # The upper bits of the identifier are the number of the task.
     part = F.shiftright("_at", 33)
     ends = placed.groupBy("_group", part.alias("_part")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_size"))
@@ -65,6 +61,15 @@ def range_numbers(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     return numbered.select([column(c) for c in df.columns] + [(F.col("_at") + F.col("_shift")).cast("long").alias(name)])
 
 
+def dealt_by_range(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows sorted by (group, order) over all tasks, stored with ``_group`` and ``_at``, which grows along the order."""
+    whole = F.struct(F.lit(0).alias("_"), *[column(c).alias(f"g{i}") for i, c in enumerate(group)])
+    stored = staged(df.select("*", whole.alias("_group")), "keyed").withColumn("_nth", F.monotonically_increasing_id())
+    by = [F.col("_group"), *order, F.col("_nth")]
+    dealt = stored.repartitionByRange(*by).sortWithinPartitions(*by)
+    return staged(dealt.withColumn("_at", F.monotonically_increasing_id()), "placed")
+
+
 def quantile_sketches(df: DataFrame, value: str, by: Sequence[str], k: int = 1000) -> DataFrame:
     """Per group a KLL sketch of a column, a few kilobytes that can be stored beside the rows and merged later.
 
