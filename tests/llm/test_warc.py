@@ -13,7 +13,11 @@ ROWS = [(i, f"http://h/{i}", "<p>" + "x" * (i % 7) + "</p>") for i in range(200)
 def collection(spark, tmp_path):
     folders = [f"file://{tmp_path}/{n}" for n in "ab"]
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string").selectExpr("*", "'x' AS file", "1 AS nth", "2 AS digest")
-    return warc.write_collection(pages, folders, F.lit(False)), folders, tmp_path
+    # Several files: small partitions would be put together.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    index = warc.write_collection(pages, folders, F.lit(False))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    return index, folders, tmp_path
 
 
 def located(index, folders):
@@ -43,14 +47,25 @@ def test_changed_short_and_missing_files(collection):
     data[hurt[3][2]] ^= 255
     (root / "b" / files[0]).write_bytes(data)
     want = {hurt[3][:2]}
-    if len(files) > 1:
-        short = [r for r in rows if r[0] == files[1]]
-        os.truncate(root / "b" / files[1], short[-1][2] + 1)
-        want.add(short[-1][:2])
-    if len(files) > 2:
-        os.rename(root / "b" / files[2], root / "gone")
-        want |= {r[:2] for r in rows if r[0] == files[2]}
-    assert located(index, folders) == want
+    assert len(files) > 3
+    short = [r for r in rows if r[0] == files[1]]
+    os.truncate(root / "b" / files[1], short[-1][2] + 1)
+    os.rename(root / "b" / files[2], root / "gone")
+    with open(root / "b" / files[3], "ab") as file:
+        file.write(b"more")
+    behind = [r for r in rows if r[0] == files[3]][-1]
+    assert located(index, folders) == want | {short[-1][:2], behind[:2]} | {r[:2] for r in rows if r[0] == files[2]}
+
+
+def test_both_replicas_cut_at_the_same_place(collection):
+    index, folders, root = collection
+    rows = sorted((tuple(r) for r in index.select("file", "nth", "offset", "length").collect()))
+    files = sorted({r[0] for r in rows})
+    short = [r for r in rows if r[0] == files[1]]
+    for name in "ab":
+        os.truncate(root / name / files[1], short[-2][2] + 1)
+        os.rename(root / name / files[0], root / f"gone-{name}")
+    assert located(index, folders) == {r[:2] for r in short[-2:]} | {r[:2] for r in rows if r[0] == files[0]}
 
 
 def test_damaged_records_are_found(spark, tmp_path):

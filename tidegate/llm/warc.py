@@ -6,7 +6,8 @@ then FANOUT neighbours at a time into nodes that cover longer and longer ranges
 from there to one root per replica. Two replicas are compared from the root down: only the children of nodes that
 differ are looked at, so the joins below the top are as large as the damage, and the leaves that differ are the corrupt records.
 
-Defined cases: a file that is missing or too short in a replica counts as corrupt from there on; null html is an empty
+Defined cases: a file that is missing or too short in a replica counts as corrupt from there on, even if it is so in both; bytes behind the
+last record belong to it; null html is an empty
 payload, null url an empty address; repeated pages are records of their own; an empty table makes an empty collection.
 """
 
@@ -75,24 +76,33 @@ def _changed(data: bytes) -> bytes:
 
 
 def leaves(index: DataFrame, folder: str) -> DataFrame:
-    """file, nth, offset, stop, digest of every indexed record of a replica. Each task reads its records' ranges in order."""
+    """file, nth, offset, stop, digest of every indexed record of a replica. Each task reads its records' ranges in order.
+
+    A range that cannot be read whole has a digest of its own in every replica, so that it is never taken for equal. Bytes behind the last
+    record of a file count as part of it.
+    """
     def run(batches):
         held: dict[str, object] = {}
         system, root = place(folder)
         for batch in batches:
             digests = []
-            for name, offset, length in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
+            for name, nth, offset, length, last in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if name not in held:
                     held.clear()
                     found = system.get_file_info(f"{root}/{name}")
                     held[name] = system.open_input_file(found.path) if found.is_file else None
-                data = held[name].read_at(length, offset) if held[name] and offset < held[name].size() else b""
+                size = held[name].size() if held[name] else 0
+                if offset + length > size:
+                    digests.append(hashlib.sha256(f"\x02{folder}\x00{name}\x00{nth}".encode()).digest())
+                    continue
+                data = held[name].read_at(size - offset if nth == last else length, offset)
                 digests.append(hashlib.sha256(b"\x00" + data).digest())
             stop = pa.compute.add(batch.column(2), batch.column(3))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), stop, pa.array(digests, pa.binary())],
                                              names=["file", "nth", "offset", "stop", "digest"])
 
-    return map_arrow(index.select("file", "nth", "offset", "length"), run, "file string, nth long, offset long, stop long, digest binary")
+    ends = index.groupBy("file").agg(F.max("nth").alias("last"))
+    return map_arrow(index.join(ends, "file").select("file", "nth", "offset", "length", "last"), run, "file string, nth long, offset long, stop long, digest binary")
 
 
 def _parents(nodes: DataFrame, keys: list[str]) -> DataFrame:
