@@ -6,6 +6,7 @@ log rows) is an aggregation by file.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -36,6 +37,8 @@ from tidegate.sources.delimited import BLOCK, CORRUPT, FILE, LINEAGE, ROW, Fresh
 from tidegate.sources.discovery import empty_files, file_identity, list_files
 from tidegate.sources.lines import LINE, count_splits, split_offsets, with_line_id
 
+LOG = logging.getLogger("tidegate")
+
 # Error code of a refused row, and how the log words why a table or a file is not loaded.
 INVALID_ROW = "INVALID_ROW"
 NO_FILE = "No file matched"
@@ -104,6 +107,7 @@ def load_table(spark: SparkSession, rule: TableRule, rules: Sequence[ColumnRule]
         with scratch(spark):
             return lasting(_load_table(spark, rule, ordered(rules), layout, at, source, common, failure, began), "runs")
     except Exception as error:  # noqa: BLE001  the next table is loaded whatever befell this one
+        LOG.exception("Table %s was not loaded", rule.table_name)
         return failure(f"{type(error).__name__}: {str(error).strip().splitlines()[0] if str(error).strip() else ''}"[:500])
 
 
