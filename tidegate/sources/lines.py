@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.operators.aggregates import dealt_by_range
 from tidegate.session import tune
 from tidegate.sources.delimited import BLOCK, FILE, ROW
 
@@ -17,13 +18,21 @@ def count_splits(df: DataFrame, *more: Column) -> DataFrame:
 
 
 def split_offsets(splits: DataFrame, per_file: bool = True) -> DataFrame:
-    """The number of lines before each split.
+    """The number of lines before each split, in its file or in all files.
 
-    The window runs over splits, not lines: a thousand terabytes of input are a few million rows here.
+    The windows run over splits, not lines: a thousand terabytes of input are a few million rows here. Through all files
+    the splits are dealt to tasks by ranges, and only one row per task is summed in one place.
     """
-    order = Window.partitionBy(FILE).orderBy(BLOCK) if per_file else Window.orderBy(FILE, BLOCK)
-    before = F.sum("_lines").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return splits.select(FILE, BLOCK, "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    def before(*by: str, order: str) -> Column:
+        window = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_lines").over(window), F.lit(0))
+
+    if per_file:
+        return splits.select(FILE, BLOCK, "_first", before(FILE, order=BLOCK).alias("_before"))
+    dealt = dealt_by_range(splits.select(FILE, BLOCK, "_first", "_lines"), [], [F.col(FILE), F.col(BLOCK)]).withColumn("_part", F.shiftright("_at", 33))
+    parts = dealt.groupBy("_part").agg(F.sum("_lines").alias("_lines")).select("_part", before(order="_part").alias("_earlier"))
+    within = dealt.select(FILE, BLOCK, "_first", "_part", before("_part", order="_at").alias("_within"))
+    return within.join(parts, "_part").select(FILE, BLOCK, "_first", (F.col("_within") + F.col("_earlier")).alias("_before"))
 
 
 def with_line_id(df: DataFrame, per_file: bool = True, offsets: DataFrame | None = None) -> DataFrame:
