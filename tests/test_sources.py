@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import values
 from tidegate.rules import ColumnRule, TableRule
 from tidegate.sources.archive import archive_lines, archives, parse_lines
-from tidegate.sources.delimited import CORRUPT, LINEAGE, read_delimited, read_files, read_fixed_width
+from tidegate.sources.delimited import CORRUPT, LINEAGE, file_heads, read_delimited, read_files, read_fixed_width
 from tidegate.sources.discovery import dated_names, empty_files, list_files, match_files, selected_files, unmatched_tables
 from tidegate.sources.lines import with_line_id
 
@@ -58,6 +58,23 @@ def test_charsets(spark, put):
     assert values(read(spark, utf8, header="FIRST LINE"), "name") == ["日本 🎉"]
 
 
+@pytest.mark.parametrize("charset,codec,text", [("Latin1", "latin-1", "Élysée\nà"), ("ANSI", "cp1252", "œuvre –\n5€"), ("ISO-8859-15", "iso-8859-15", "œuvre\n5€"),
+                                                ("US-ASCII", "latin-1", "\ufffdlys\ufffde\nx"), ("UTF-8", "latin-1", "\ufffdlys\ufffde\nx")])
+def test_charsets_of_lines(spark, put, charset, codec, text):
+    """The formats that are cut out of lines: quoted text of several lines, fixed width, and the heads of files."""
+    stored = text if "\ufffd" not in text else "Élysée\nx"
+    quoted = put("q.csv", f'id;"{stored}"\n1;"{stored}"\n', codec)
+    got = read(spark, quoted, ["id", "name"], input_format="csv_quote_ml", charset=charset, delimiter=";")
+    assert values(got, "id", "name") == [("id", text), ("1", text)]
+    fixed = put("f.txt", "1" + stored.partition("\n")[0] + "|\n", codec)
+    width = len(text.partition("\n")[0])
+    rules = [ColumnRule("id", column_size=1, field_order=1), ColumnRule("name", column_size=width, field_order=2), ColumnRule("end", column_size=1, field_order=3)]
+    rows = read_fixed_width(spark, fixed, TableRule("t", input_format="fixed", charset=charset), rules, lineage=False)
+    assert values(rows, "id", "name", "end") == [("1", text.partition("\n")[0], "|")]
+    heads = file_heads(spark, put("h.csv", "1;" + stored.partition("\n")[0] + "\n", codec), TableRule("t", delimiter=";", charset=charset))
+    assert values(heads, "head") == ["1;" + text.partition("\n")[0]]
+
+
 def test_corrupt_lines_survive_pruning(spark, put):
     path = put("a.csv", "1,a,x\n2\n3,c,z\n4,d,e,f\n")
     df = read(spark, path)
