@@ -164,3 +164,15 @@ def test_large_files_are_counted_quickly(spark, put, rows):
     began = time.time()
     assert read(spark, path, ["id", "name", "value", "date"], header="FIRST LINE").count() == rows
     assert time.time() - began < 30
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_heads_are_found_without_sorting_lines(spark, put):
+    for name in ("a.csv", "b.csv"):
+        put(name, "\n  \n" + TEXT)
+    heads = file_heads(spark, put.inbox, TableRule("t"))
+    assert values(heads, "head") == ["id,name,date"] * 2
+    assert "Sort" not in plan_of(heads)
