@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tidegate.plans import medallion, reports
-from tidegate.session import broadcast_if_small, measured_bytes
+from tidegate.session import broadcast_if_small, measured_bytes, tune
 from tidegate.sinks.catalog import register_table
 from tidegate.sinks.logs import EXECUTION_LOG, QUALITY_LOG, append_log, execution_rows, quality_rows, run_row
 from tidegate.sinks.tables import CurrentTable, balanced, output_path, partition_types, read_table, stamp, write_partitioned
@@ -129,3 +129,8 @@ def test_paths_and_sizes(spark):
     assert 100 * 8 < measured_bytes(df) < 100 * 100
     hinted = broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString()
     assert "broadcast" in hinted and "broadcast" not in broadcast_if_small(df, None)._jdf.queryExecution().logical().toString()
+
+
+def test_rows_of_one_day_are_not_sorted_for_a_write(spark):
+    tune(spark)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "2"
