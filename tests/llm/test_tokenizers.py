@@ -86,3 +86,21 @@ def test_empty_tables(spark):
     assert tokenfiles.round_trip(frame(spark, []), BYTES).count() == 0
     assert pieces.encode_decode(frame(spark, []), PIECES).count() == 0
     assert unigram.token_counts(frame(spark, []), PIECES).count() == 0
+
+
+def test_pairs_of_many_texts_stay_known_and_are_bounded(monkeypatch):
+    import sentencepiece
+
+    own, library = pieces.PieceModel(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    text = "".join(t or "" for _, t in rows())[:20_000]
+    # Pairs that no text has; a corpus of several languages has some hundred thousand.
+    own.fits.update({-1 - i: True for i in range(400_000)})
+    assert own.encode(text) == library.encode(text) and len(own.fits) > 400_000
+    monkeypatch.setattr(pieces, "MOST_PAIRS", 10)
+    assert own.encode(text + " Xyz") == library.encode(text + " Xyz") and own.encode(text[::-1]) == library.encode(text[::-1])
+    assert len(own.fits) <= 11
+
+
+def test_decoded_run_is_no_second_copy():
+    run = " governed"
+    assert pieces.PieceModel(PIECES)._entries([run])[0][1] is run

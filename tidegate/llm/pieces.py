@@ -34,6 +34,8 @@ UNKNOWN_TEXT = " ⁇ "
 # Kinds of pieces in the model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 MERGE_MODEL = 2
+# Pairs of pieces whose fit is remembered.
+MOST_PAIRS = 800_000
 
 
 class PieceModel:
@@ -62,6 +64,7 @@ class PieceModel:
         self.scores = {text: score for text, (_, score) in normal.items()}
         self.texts = {i: text for text, i in self.ids.items()}
         self.decimal = list(map(str, range(len(self.pieces))))
+        self.sizes = [len(self.texts.get(i, " ")) for i in range(len(self.pieces))]
         self.shown = [self.texts.get(i) for i in range(len(self.pieces))]
         # Pieces that do not encode to themselves never stand in an encoding.
         self.automaton = ahocorasick.Automaton()
@@ -70,7 +73,7 @@ class PieceModel:
                 self.automaton.add_word(text, (i, len(text)))
         self.automaton.make_automaton()
         self.fits: dict[int, bool] = {}
-        self.memo = Memo(self._entries, entries=120_000, chars=4_000_000)
+        self.memo = Memo(self._entries, entries=200_000, chars=7_000_000)
 
     def merged(self, text: str) -> list[str]:
         """What merging makes of a short text: best score first, leftmost among equals. Used for pairs of pieces only."""
@@ -87,41 +90,42 @@ class PieceModel:
         return parts
 
     def compatible(self, left: int, right: int) -> bool:
-        key = left << 16 | right
-        known = self.fits.get(key)
-        if known is None:
-            if len(self.fits) > 250_000:
-                self.fits.clear()
-            pair = [self.texts[left], self.texts[right]]
-            known = self.fits[key] = self.merged(pair[0] + pair[1]) == pair
+        if len(self.fits) > MOST_PAIRS:
+            self.fits.clear()
+        pair = [self.texts[left], self.texts[right]]
+        known = self.fits[left << 16 | right] = self.merged(pair[0] + pair[1]) == pair
         return known
 
     def encode_run(self, text: str) -> list[int]:
-        """Ids of a text, blanks as they are, by the prefix table. last[i] is the last piece of text[:i];
-        -1 stands for a character without a piece, which merges with nothing."""
-        size = len(text)
-        last = [-1] * (size + 1)
-        length = [1] * (size + 1)
-        fits = self.fits
-        filled = 0
+        """Ids of a text, blanks as they are, by the prefix table. last[i] is the last piece of text[:i + 1]; -1 stands for
+        a character without a piece, which merges with nothing. The entry behind the text is that of the empty prefix."""
+        last = [-1] * (len(text) + 1)
+        known = self.fits.get
+        filled = -1
         for end, (piece, count) in self.automaton.iter(text):
-            end += 1
             if filled == end:
                 continue
             left = last[end - count]
-            if left < 0 or (fits[key] if (key := left << 16 | piece) in fits else self.compatible(left, piece)):
-                last[end], length[end] = piece, count
-                filled = end
+            if left >= 0:
+                fit = known(left << 16 | piece)
+                if fit is False or fit is None and not self.compatible(left, piece):
+                    continue
+            last[end] = piece
+            filled = end
         ids: list[int] = []
-        at = size
-        while at:
-            if last[at] >= 0:
-                ids.append(last[at])
-            elif self.bytes:
-                ids.extend([self.bytes[b] for b in reversed(text[at - 1].encode("utf-8"))])
+        sizes = self.sizes
+        at = len(text) - 1
+        while at >= 0:
+            piece = last[at]
+            if piece >= 0:
+                ids.append(piece)
+                at -= sizes[piece]
+                continue
+            if self.bytes:
+                ids.extend([self.bytes[b] for b in reversed(text[at].encode("utf-8"))])
             else:
                 ids.append(self.unknown)
-            at -= length[at]
+            at -= 1
         ids.reverse()
         return ids
 
@@ -160,7 +164,9 @@ class PieceModel:
         for run in runs:
             ids = self.encode_run(run)
             parts = [shown[i] for i in ids]
-            out.append((",".join([decimal[i] for i in ids]), self.decode_run(ids) if None in parts else "".join(parts)))
+            back = self.decode_run(ids) if None in parts else "".join(parts)
+            # One text in memory, not two equal ones.
+            out.append((",".join([decimal[i] for i in ids]), run if back == run else back))
         return out
 
     def round_trips(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
